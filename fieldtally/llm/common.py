@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -70,7 +71,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> I
     """
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
         first = held = 0
         for row, n in enumerate(sizes):
             if held + n > most_bytes and row > first:
