@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dac, media, token_counts, url_filter
+from . import bpe, dac, media, packing, quality, token_counts, toxicity, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -19,14 +19,32 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), BYTE_BPE)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), WORD_BPE, end_id=1)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return toxicity.toxicity_scores(docs, _labels(spark, sf_dir)).select("row.doc_id", "toxicity.*")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(_documents(spark, sf_dir), WORD_BPE)
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return quality.quality_scores(docs, _labels(spark, sf_dir)).select("row.doc_id", "quality.*")
+
+
 #: The rules that the query's contract fixes.
 RULES = [
     url_filter.Rule("com", "/en/", "block"),
@@ -53,7 +71,10 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
+        "op2_packing": op2_packing,
+        "op3_toxicity": op3_toxicity,
         "op4_bpe": op4_bpe,
+        "op5_quality": op5_quality,
         "op6_url_filter": op6_url_filter,
         "op7_token_files": op7_token_files,
         "op8_media": op8_media,
