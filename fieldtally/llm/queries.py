@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dac, media, packing, quality, token_counts, toxicity, url_filter
+from . import bpe, dac, embeddings, media, minhash, packing, quality, token_counts, toxicity, url_filter
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,14 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.text_media(_documents(spark, sf_dir))
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -78,6 +86,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_filter": op6_url_filter,
         "op7_token_files": op7_token_files,
         "op8_media": op8_media,
+        "op9_embedding_near_dedup": op9_embedding_near_dedup,
+        "op10_minhash_near_dedup": op10_minhash_near_dedup,
     }
 
 
