@@ -269,3 +269,22 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     of_id = sets.select("id", "k1", "k2").join(of_set, ["k1", "k2"]).select("id", "component")
     labelled = described.select("id", "n_shingles").join(of_id, "id", "left")
     return labelled.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"), F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose document is kept.
+
+    One row stays for each kept id that repeats; rows with a null id stay.  The
+    ids to leave out are sent to all tasks if there are few enough, else joined.
+    """
+    found = Table(near_duplicates(docs, settings), "near-duplicates").read()
+    gone = found.where("not kept").select("doc_id").distinct()
+    again = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+
+    def fit(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= settings.broadcast_ids else ids
+
+    rows = docs.join(fit(gone), "doc_id", "left_anti")
+    repeated = fit(again)
+    once = rows.join(repeated, "doc_id", "left_anti")
+    return once.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
