@@ -21,28 +21,25 @@ Content = tuple[tuple[int, int], ...]
 
 def best_configurations(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """The pricing problem, a knapsack solved by dynamic programming: for every
-    room up to ``capacity`` the greatest value that fits and the length placed
-    last (-1: none)."""
-    value, last = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
+    room up to ``capacity``, the length placed last in the most valuable filling
+    and the least room that holds as much."""
+    value, last, least = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64), np.zeros(capacity + 1, np.int64)
     fit = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        value[room], last[room] = value[room - 1], last[room - 1] if last[room - 1] < 0 else -2
+        value[room], least[room] = value[room - 1], least[room - 1]
         if fit[room]:
             worth = prices[: fit[room]] + value[room - lengths[: fit[room]]]
             best = int(worth.argmax())
             if worth[best] > value[room]:
-                value[room], last[room] = worth[best], best
-    return value, last
+                value[room], last[room], least[room] = worth[best], best, room
+    return last, least
 
 
-def _trace(lengths: np.ndarray, last: np.ndarray, room: int) -> list[int]:
+def _trace(lengths: np.ndarray, last: np.ndarray, least: np.ndarray, room: int) -> list[int]:
     out = []
-    while room > 0 and last[room] != -1:
-        if last[room] == -2:  # the room below it holds as much
-            room -= 1
-        else:
-            out.append(int(last[room]))
-            room -= int(lengths[last[room]])
+    while room := int(least[room]):
+        out.append(int(last[room]))
+        room -= int(lengths[last[room]])
     return out
 
 
@@ -67,13 +64,13 @@ def solve(histogram: dict[int, int], capacity: int, rounds: int = 16, eta: float
         share = covered / demand - t / rounds
         prices = lengths / capacity * np.exp(-eta * share)
         prices[covered >= demand] = 0
-        _, last = best_configurations(lengths, prices, capacity)
+        last, least = best_configurations(lengths, prices, capacity)
         target = np.ceil(demand * ((t + 1) / rounds)).astype(np.int64)
         for anchor in range(len(lengths) - 1, -1, -1):
             filling = None
             while (need := int(target[anchor] - covered[anchor])) > 0:
                 if filling is None:
-                    filling = Counter([anchor, *_trace(lengths, last, int(capacity - lengths[anchor]))])
+                    filling = Counter([anchor, *_trace(lengths, last, least, int(capacity - lengths[anchor]))])
                 amount = min([need, *(int(demand[i] - covered[i]) // k for i, k in filling.items())])
                 if amount < 1:
                     break
