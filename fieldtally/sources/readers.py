@@ -53,15 +53,17 @@ def grid(spark: SparkSession, path: str) -> DataFrame:
 
 
 def branch_list(spark: SparkSession, path: str, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """A CSV import and, apart from it, its rows that don't fit."""
+    """A CSV import (one line a record, a header line) and, apart from it, its
+    lines that don't fit."""
     schema = ", ".join(f"`{c}` string" for c in columns) + ", _corrupt_record string"
-    rows = spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
-    return rows.where("_corrupt_record is null").drop("_corrupt_record"), rows.where("_corrupt_record is not null").select("_corrupt_record")
+    lines = spark.read.text(path).where((F.trim("value") != "") & (F.lower("value") != ",".join(columns).lower()))
+    rows = lines.select("value", F.from_csv("value", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    return rows.where("r._corrupt_record is null").select(*(f"r.`{c}`" for c in columns)), rows.where("r._corrupt_record is not null").select("value")
 
 
 def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """``path``, ``modified`` and ``length`` of the files of a folder; no content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
     return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 

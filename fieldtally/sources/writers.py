@@ -82,7 +82,7 @@ def workbook(sheets: dict[str, DataFrame], most: int = 100_000) -> bytes:
 
 def json_rows(df: DataFrame, n: int = 1000) -> list[str]:
     """Up to ``n`` rows as JSON texts, for a command's output."""
-    return df.toJSON().take(n)
+    return [r.row for r in df.select(F.to_json(F.struct("*")).alias("row")).take(n)]
 
 
 def log_line(spark: SparkSession, path: str, level: str, text: str) -> None:
