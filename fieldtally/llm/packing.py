@@ -121,6 +121,25 @@ def best_fit(left: dict[int, int], bins: list[tuple[Content, int]], capacity: in
     return [entry for entries in open_.values() for entry in entries]
 
 
+def rounded(histogram: dict[int, int], used: Counter, capacity: int, shares: tuple[float, ...] = (1, 0.75, 0.5, 0.25, 0)) -> list[tuple[Content, int]]:
+    """Round a solution to whole sequences and best-fit the rest: the fewest
+    sequences over several shares of the solution that are kept.
+
+    Early configurations leave an even mix of lengths; the last ones to be added
+    may leave lengths that fit together badly, and are better packed with those.
+    """
+    best: list[tuple[Content, int]] = []
+    for share in shares:
+        kept = [(content, int(share * n)) for content, n in used.items() if int(share * n)]
+        left = Counter(histogram)
+        for content, n in kept:
+            left.subtract({x: k * n for x, k in content})
+        packed = best_fit({x: n for x, n in left.items() if n}, kept, capacity)
+        if not best or sum(n for _, n in packed) < sum(n for _, n in best):
+            best = packed
+    return best
+
+
 def plan(histogram: dict[int, int], capacity: int, rounds: int = 16) -> dict[str, np.ndarray]:
     """Where the r-th piece of each length goes.
 
@@ -128,9 +147,9 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 16) -> dict[str
     ``copies`` x ``count`` pieces of that length go to the sequences from
     ``sequence`` on, ``copies`` into each, from ``offset`` on.
     """
-    used, left = solve(histogram, capacity, rounds)
+    used, _ = solve(histogram, capacity, rounds)
     rows, taken, sequence = [], Counter(), 0
-    for content, count in best_fit(left, list(used.items()), capacity):
+    for content, count in rounded(histogram, used, capacity):
         offset = 0
         for length, copies in content:
             rows.append((length, taken[length], copies, sequence, offset))
