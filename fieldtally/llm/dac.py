@@ -107,8 +107,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
     order of ``id_col``, about ``shard_tokens`` to a file image.
 
     The table written to the shared folder has a row for each image: ``part``
-    and ``shard`` (their order is the order of the ids), ``doc_ids``,
-    ``lengths`` and ``image``.  A range partitioning by id brings neighbours
+    and ``shard`` (their order is the order of the ids), ``first`` (the ids of
+    its part before it), ``doc_ids``, ``lengths`` and ``image``.  A range partitioning by id brings neighbours
     together; a document is never split over two images.
 
     A null or empty text has the end id alone; null ids come first; repeated
@@ -121,11 +121,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, cache = pieces.load(tokenizer, "ids")
-        part, shard, ids, raws, held = TaskContext.get().partitionId(), 0, [], [], 0
+        part, shard, first, ids, raws, held = TaskContext.get().partitionId(), 0, 0, [], [], 0
 
         def image() -> pa.RecordBatch:
             lengths = [[len(r) // 4 for r in raws]]
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)), pa.array(lengths, pa.list_(pa.int64())), pa.array([encode(np.frombuffer(b"".join(raws), "<u4"))], pa.binary())], ["part", "shard", "doc_ids", "lengths", "image"])
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)), pa.array(lengths, pa.list_(pa.int64())), pa.array([encode(np.frombuffer(b"".join(raws), "<u4"))], pa.binary())], ["part", "shard", "first", "doc_ids", "lengths", "image"])
 
         for run in slices(batches, "text", batch_bytes):
             new = [r + end for r in cache([cut(t) if t else [] for t in run.column(1).to_pylist()])]
@@ -134,26 +134,24 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
             held += sum(map(len, new)) // 4
             if held >= shard_tokens:
                 yield image()
-                shard, ids, raws, held = shard + 1, [], [], 0
+                shard, first, ids, raws, held = shard + 1, first + held, [], [], 0
         if raws:
             yield image()
 
     ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
-    return Table(ordered.mapInArrow(write, f"part int, shard int, doc_ids array<{kind}>, lengths array<long>, image binary"), "dac")
+    return Table(ordered.mapInArrow(write, f"part int, shard int, first long, doc_ids array<{kind}>, lengths array<long>, image binary"), "dac")
 
 
 def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per document of the images that ``write_token_files`` wrote: ``id_col``,
     ``start`` (ids of all documents before it), ``n_tokens`` and ``ids_crc32``.
 
-    Starts are summed in two steps, images within a part and then parts, so
-    that no task sees more rows than there are parts.
+    The writer has summed ids within its part; here only parts are summed, and
+    one row for each part is sent to the tasks.  Images don't move.
     """
-    sizes = files.select("part", "shard", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = files.select("part", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.withColumn("start", F.coalesce(F.sum("n").over(within), F.lit(0))).join(parts, "part").select("part", "shard", (F.col("start") + F.col("part_start")).alias("start"))
     kind = files.schema["doc_ids"].dataType.elementType.simpleString()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +163,7 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(reader.slice(int(e - n), int(e)).tobytes()) for e, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
-    placed = files.join(starts, ["part", "shard"]).select("start", "doc_ids", "lengths", "image")
+    placed = files.join(F.broadcast(parts), "part").select((F.col("first") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "image")
     return placed.mapInArrow(read, f"id {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 

@@ -14,7 +14,7 @@ import re
 from collections.abc import Callable, Iterable
 
 #: The characters with Unicode's White_Space property.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE_RUN = re.compile(f"[{WHITE}]+")
 #: str.split() also takes these separators for white space.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -65,8 +65,9 @@ def cutter(definition: dict) -> Callable[[str], list[str]]:
 
 
 #: The matches of a pattern within a piece of these characters only; newer parts of Unicode
-#: differ between versions, so other pieces are always encoded whole.
-_KNOWN = re.compile("[\x00-\u017f]*")
+#: differ between versions, so other pieces are always encoded whole; so is U+0130, whose lower
+#: case has a mark that isn't a letter.
+_KNOWN = re.compile("[\x00-\u012f\u0131-\u017f]*")
 _INNER_WHITE = re.compile(r"(?s).\s")
 
 
@@ -79,7 +80,7 @@ class PieceCache:
     later is worked out again each time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most: tuple[int, int] = (400_000, 900_000), batch_bytes: int = 1 << 18):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most: tuple[int, int] = (600_000, 900_000), batch_bytes: int = 1 << 18):
         import regex
 
         self.encode, self.join, self.fold, self.never, self.most, self.batch_bytes = encode, join, fold, never, most, batch_bytes
@@ -88,6 +89,15 @@ class PieceCache:
         self.parts: dict = {}
 
     def _cut(self, piece: str) -> list[str]:
+        if self.find is not None:
+            # the usual pieces: letters, perhaps after a space or before one mark
+            start = piece.startswith(" ")
+            mark = piece[-1:] in {",", "."}
+            letters = piece[start : len(piece) - mark]
+            if letters.isalpha() and (letters.isascii() or _KNOWN.fullmatch(letters)):
+                run = piece[: len(piece) - mark]
+                run = run.lower() if self.fold else run
+                return [run, piece[-1]] if mark else [run]
         if self.find is None or not _KNOWN.fullmatch(piece) or _INNER_WHITE.search(piece) or any(x in piece for x in self.never):
             return [piece]
         return self.find(piece.lower() if self.fold else piece)
@@ -105,7 +115,8 @@ class PieceCache:
                 batch, held = [], 0
         if batch:
             found.update(zip(batch, self.encode(batch)))
-        values = {p: self.join([self.parts[x] if x in self.parts else found[x] for x in cut]) for p, cut in cuts.items()}
+        parts = self.parts
+        values = {p: self.join([parts[x] if x in parts else found[x] for x in cut]) for p, cut in cuts.items()}
         if len(self.parts) + len(found) <= self.most[1]:
             self.parts.update(found)
         if len(self.pieces) + len(values) <= self.most[0]:
