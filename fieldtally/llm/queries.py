@@ -108,5 +108,38 @@ SELECT page_id, host, path, b.name AS rule, coalesce(b.verdict, 'allow') AS verd
 """
 
 
+_OP9_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding]) AND list_bool_or([x <> 0 FOR x IN embedding])),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.node WHERE reach.root < link.b),
+least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON node = vec_id LEFT JOIN degree ON a = vec_id
+"""
+
+_OP10_SQL = r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) END AS s FROM word),
+shingle AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM sets),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingle a JOIN shingle b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.node WHERE reach.root < link.b),
+least AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least ON node = doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": _OP6_SQL}
+    return {"op6_url_filter": _OP6_SQL, "op9_embedding_near_dedup": _OP9_SQL, "op10_minhash_near_dedup": _OP10_SQL}
