@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,40 @@ class Table:
         _delete(self.spark, self.path)
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that come sorted by integer ``keys``, one table each."""
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        change = np.zeros(table.num_rows - 1, bool)
+        for k in keys:
+            change |= np.diff(table[k].to_numpy()) != 0
+        edges = [0, *(np.flatnonzero(change) + 1).tolist()]
+        for i, j in zip(edges, edges[1:]):
+            yield table.slice(i, j - i)
+        held = table.slice(edges[-1])  # it may go on in the next batch
+    if held is not None:
+        yield held
+
+
+class Scratch:
+    """Tables that are dropped together, once nothing reads them any more."""
+
+    def __init__(self):
+        self.tables: list[Table] = []
+
+    def hold(self, df: DataFrame, name: str) -> DataFrame:
+        self.tables.append(Table(df, name))
+        return self.tables[-1].read()
+
+    def drop(self) -> None:
+        for table in self.tables:
+            table.drop()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).read()
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, slices
+from .common import Scratch, Table, slices, sorted_groups
 from .components import components
 
 VALUES, CHUNK = 64, 4
@@ -32,13 +32,15 @@ MOST_ERRORS = 2 * (VALUES // CHUNK) - 1
 class Settings:
     """Sets of ``words`` word shingles; linked if intersection * ``den`` >= ``num`` *
     union.  At most ``broadcast_ids`` ids are sent to every task; beyond that
-    they are joined.  A bucket is compared in tiles of two times ``tile`` rows."""
+    they are joined.  Signatures are compared in tiles of two
+    times ``tile`` rows, sets in tiles of two times ``set_tile``."""
 
     words: int = 5
     num: int = 75
     den: int = 100
     broadcast_ids: int = 4_000_000
     tile: int = 2048
+    set_tile: int = 512
     seed: int = 5
 
 
@@ -166,16 +168,15 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, batch_bytes: int = 1 << 20) -> DataFrame:
-    """The pairs that are linked by their full sets.
+def _sets(wanted: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scratch: Scratch, batch_bytes: int = 1 << 20) -> DataFrame:
+    """``rep`` and its ``shingles``, for the ``rep``s of ``wanted``.
 
-    Sets are made again, for the documents in pairs only; the ids wanted are sent
-    to all tasks if there are few enough, else joined.
+    Sets are made again, for these documents only; the ids are sent to all tasks
+    if there are few enough, else joined.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    wanted = Table(ids.join(reps, "rep").select(F.col("rep").alias("doc_id"), "k1", "k2"), "wanted").read()
-    few = wanted.count() <= s.broadcast_ids
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(wanted) if few else wanted, "doc_id")
+    ids = scratch.hold(wanted.distinct().join(reps, "rep").select(F.col("rep").alias("doc_id"), "k1", "k2"), "wanted")
+    few = ids.count() <= s.broadcast_ids
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids) if few else ids, "doc_id")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", batch_bytes):
@@ -183,6 +184,12 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings,
             keep = pa.array([set_hash(raw) == k for raw, *k in zip(raws, batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raws, pa.binary())], ["rep", "shingles"]).filter(keep)
 
+    return scratch.hold(texts.mapInArrow(sets, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
+    """The pairs ``a``, ``b`` that are linked by their full sets."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -192,44 +199,121 @@ def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings,
                 keep.append(s.den * both >= s.num * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    made = Table(texts.mapInArrow(sets, "rep long, shingles binary").dropDuplicates(["rep"]), "sets").read()
+    made = _sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")), reps, docs, s, scratch)
     joined = pairs.join(made.withColumnsRenamed({"rep": "a", "shingles": "x"}), "a").join(made.withColumnsRenamed({"rep": "b", "shingles": "y"}), "b")
     return joined.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _first_key(differ: np.ndarray) -> np.ndarray:
+    """Of pairs, given by which values differ: the least (chunk, value left out)
+    that they share, as one number."""
+    errors = differ.reshape(-1, VALUES // CHUNK, CHUNK)
+    chunk = (errors.sum(2) <= 1).argmax(1)
+    return chunk * CHUNK + errors[np.arange(len(errors)), chunk].argmax(1)
+
+
+def _near_components(key: int, comp: np.ndarray, chunk: np.ndarray, sig: np.ndarray, two_chunks: bool) -> np.ndarray:
+    """The pairs of components in a tile that have near signatures, of which this
+    key is the first that they share; a component is never compared with itself,
+    however many rows it has."""
+    order = np.argsort(comp, kind="stable")
+    comp, chunk, sig = comp[order], chunk[order], sig[order]
+    end, found, own = np.searchsorted(comp, comp, side="right"), [], key >> 16 * (CHUNK - 1)
+    for i in range(int(np.searchsorted(comp, comp[-1]))):
+        differ = sig[end[i] :] != sig[i]
+        near = differ.sum(1) <= MOST_ERRORS
+        if two_chunks:
+            near &= chunk[end[i] :] != chunk[i]
+        hit = np.flatnonzero(near)
+        hit = hit[_first_key(differ[hit]) == own]
+        found.append(np.stack([np.full(len(hit), comp[i]), comp[end[i] + hit]], 1))
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
 def _across(rows: DataFrame, s: Settings) -> DataFrame:
-    """Pairs ``a``, ``b`` of one bucket and different components whose signatures
+    """Pairs of components, ``low`` < ``high``, of which some members' signatures
     are near.
 
-    A bucket of more than ``s.tile`` rows is dealt to chunks, and a task gets two
-    chunks; in it, components of many rows are not compared with themselves.
+    A bucket of more than ``s.tile`` rows is dealt to chunks, and each two chunks
+    meet in a tile; tiles come sorted, so a task goes through them one after
+    another.  A pair of members counts in one of the buckets that it shares.
     """
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > s.tile)
     dealt = rows.join(sizes, "key", "left").withColumn("chunks", F.coalesce(F.ceil(F.col("n") / s.tile), F.lit(1)).cast("int"))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tiles = dealt.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "rep", "component", "sig")
-
-    def compare(table: pa.Table) -> pa.Table:
-        rep, comp, chunk = (table[c].to_numpy() for c in ("rep", "component", "chunk"))
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(-1, VALUES)
-        order = np.argsort(comp, kind="stable")
-        rep, comp, chunk, sig = rep[order], comp[order], chunk[order], sig[order]
-        low, high = table["low"][0].as_py(), table["high"][0].as_py()
-        a, b = [], []
-        end = np.searchsorted(comp, comp, side="right")
-        for i in range(len(rep)):
-            j = end[i]
-            if j < len(rep):
-                far = (sig[j:] != sig[i]).sum(1) <= MOST_ERRORS
-                if low != high:
-                    far &= chunk[j:] != chunk[i]
-                hit = j + np.flatnonzero(far)
-                a.append(np.full(len(hit), rep[i]))
-                b.append(rep[hit])
-        x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
-        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    return tiles.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+    tile = ["key", "low", "high"]
+    tiles = dealt.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "component", "sig")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+        for table in sorted_groups(batches, tile):
+            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), "<u2").reshape(-1, VALUES)
+            both = _near_components(table["key"][0].as_py(), table["component"].to_numpy(), table["chunk"].to_numpy(), sig, table["low"][0].as_py() != table["high"][0].as_py())
+            new = [p for p in map(tuple, both.tolist()) if p not in seen]
+            if len(seen) < 1_000_000:
+                seen.update(new)
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*new)], ["low", "high"])
+
+    return tiles.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(compare, "low long, high long").distinct()
+
+
+def _links_to(sets: list[np.ndarray], others: list[np.ndarray], s: Settings) -> list[int]:
+    """For each of ``others``, the first of ``sets`` that it is linked with, or -1.
+
+    The sets' shingles are sorted once with their owners; a set's intersections
+    with all of them are then counted in one go.
+    """
+    sizes = np.array([len(x) for x in sets])
+    shingles = np.concatenate(sets)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], np.repeat(np.arange(len(sets)), sizes)[order]
+    out = []
+    for x in others:
+        low, high = np.searchsorted(shingles, x, "left"), np.searchsorted(shingles, x, "right")
+        n = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(owner[at], minlength=len(sets))
+        linked = s.den * both >= s.num * (sizes + len(x) - both)
+        out.append(int(linked.argmax()) if linked.any() else -1)
+    return out
+
+
+def _confirmed_components(pairs: DataFrame, members: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
+    """Links ``a``, ``b`` between pairs of components, by the full sets of all their
+    members, one link for a member and a component at most.
+
+    The larger component of a pair stands still, and members of all smaller ones
+    that are paired with it come to it; so a pair of a large component and many
+    small ones lists members, not pairs of members.  Both sides are dealt to
+    chunks of ``s.set_tile`` sets, and each two chunks meet in a tile.
+    """
+    n = members.groupBy("component").agg(F.count("*").alias("n"))
+    sized = pairs.join(n.withColumnsRenamed({"component": "low", "n": "n_low"}), "low").join(n.withColumnsRenamed({"component": "high", "n": "n_high"}), "high")
+    turned = F.col("n_high") > F.col("n_low")
+    turn = scratch.hold(sized.select(F.when(turned, F.col("high")).otherwise(F.col("low")).alias("big"), F.when(turned, F.col("low")).otherwise(F.col("high")).alias("small")), "turned")
+    still = turn.select("big").distinct().join(members.withColumnRenamed("component", "big"), "big").select("big", "rep", F.lit(0).alias("role"))
+    come = turn.join(members.withColumnRenamed("component", "small"), "small").select("big", "rep", F.lit(1).alias("role"))
+    roles = scratch.hold(still.union(come), "roles")
+    sets = _sets(roles.select("rep"), reps, docs, s, scratch)
+    chunks = roles.groupBy("big").agg(*(F.ceil(F.sum(F.when(F.col("role") == r, 1).otherwise(0)) / s.set_tile).cast("int").alias(f"chunks{r}") for r in (0, 1)))
+    dealt = roles.join(chunks, "big")
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("role") == 0, F.col("chunks0")).otherwise(F.col("chunks1"))).cast("int")
+    dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("role") == 0, F.col("chunks1")).otherwise(F.col("chunks0")) - 1)))
+    tile = ["big", "chunk0", "chunk1"]
+    tiles = dealt.select("big", F.when(F.col("role") == 0, F.col("own")).otherwise(F.col("other")).alias("chunk0"), F.when(F.col("role") == 0, F.col("other")).otherwise(F.col("own")).alias("chunk1"), "role", "rep").join(sets, "rep")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, tile):
+            role, rep = table["role"].to_numpy(), table["rep"].to_numpy()
+            made = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+            first, second = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+            if len(first) and len(second):
+                to = np.array(_links_to([made[i] for i in first], [made[i] for i in second], s))
+                hit = to >= 0
+                yield pa.RecordBatch.from_arrays([pa.array(rep[second[hit]]), pa.array(rep[first[to[hit]]])], ["a", "b"])
+
+    return tiles.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -239,9 +323,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     Documents with equal sets are one representative from the start.  In each
     bucket of the multi-index join, every representative is first compared with
     the least one, which brings groups of copies together without listing their
-    pairs; then, in buckets that still hold several components, all pairs
-    across components are.  Signatures are compared before full sets.  So every
-    pair within the signature distance is decided or lies within a component.
+    pairs.  Then, in buckets that still hold several components, signatures are
+    compared across components, and pairs of components with near signatures by
+    the full sets of all their members.  So every pair within the signature
+    distance is decided or lies within a component.
 
     Empty sets (null, empty or white text) link with nothing.  A null id has a
     null component and is kept.  Rows that share an id are one document; if
@@ -256,15 +341,18 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     reps = Table(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("sig").alias("sig")), "representatives").read()
     keys = _keys(reps)
     leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
-    buckets = Table(keys.join(leaders, "key"), "buckets").read()
+    scratch = Scratch()
+    buckets = scratch.hold(keys.join(leaders, "key"), "buckets")
     stars = buckets.where("rep > leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    first = Table(_confirmed(Table(_near(stars, reps), "pairs").read(), reps, docs, s), "links").read()
+    first = scratch.hold(_confirmed(scratch.hold(_near(stars, reps), "pairs"), reps, docs, s, scratch), "links")
     so_far = components(first)
     placed = buckets.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
     rest = placed.join(mixed, "key", "left_semi").join(reps.select("rep", "sig"), "rep").select("key", "rep", "component", "sig")
-    second = _confirmed(Table(_across(rest, s), "pairs").read(), reps, docs, s)
+    members = scratch.hold(reps.select("rep").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "members")
+    second = _confirmed_components(scratch.hold(_across(rest, s), "pairs"), members, reps, docs, s, scratch)
     final = components(first.union(second)).withColumnRenamed("node", "rep")
+    scratch.drop()  # what follows reads signatures, representatives and components only
     of_set = reps.select("k1", "k2", "rep").join(final, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     of_id = sets.select("id", "k1", "k2").join(of_set, ["k1", "k2"]).select("id", "component")
     labelled = described.select("id", "n_shingles").join(of_id, "id", "left")

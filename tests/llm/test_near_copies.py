@@ -68,7 +68,7 @@ def test_documents(spark, tile):
     df = spark.createDataFrame([(k, t, "x") for k, t in texts.items()], "doc_id long, text string, component_id string").repartition(4)
     sets, links = jaccard_links(texts)
     want = roots(texts, links)
-    rows = minhash.near_duplicates(df, minhash.Settings(tile=tile)).collect()
+    rows = minhash.near_duplicates(df, minhash.Settings(tile=tile, set_tile=max(3, tile // 4))).collect()
     assert len(rows) == len(texts)
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in rows} == {k: (len(sets[k]), want[k], want[k] == k) for k in texts}
 
