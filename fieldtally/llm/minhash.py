@@ -44,21 +44,53 @@ class Settings:
     seed: int = 5
 
 
-class Words(dict):
-    """word -> 64-bit hash, remembered for up to ``most`` words."""
+def _spread(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A number for each byte (A-Z as a-z, white space 0), which bytes are white
+    space, and the powers of an odd number and of its inverse modulo 2**64."""
+    rng = np.random.default_rng(seed)
+    numbers = rng.integers(1, np.iinfo(np.uint64).max, 256, np.uint64)
+    numbers[65:91] = numbers[97:123]
+    space = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+    numbers[space] = 0
+    base = int(rng.integers(0, np.iinfo(np.uint64).max, dtype=np.uint64)) | 3
+    with np.errstate(over="ignore"):
+        powers = [np.cumprod(np.r_[np.uint64(1), np.full(_BLOCK, x, np.uint64)], dtype=np.uint64) for x in (base, pow(base, -1, 1 << 64))]
+    return numbers, space, *powers
+
 
-    def __init__(self, most: int = 600_000):
-        super().__init__()
-        self.most = most
+#: Bytes that are hashed at once; longer texts go on from block to block.
+_BLOCK = 1 << 18
+_NUMBERS, _SPACE, _POWERS, _INVERSE = _spread(11)
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.most:
-            self[word] = h
-        return h
 
+def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words' 64-bit hashes and where they start.
 
-_WORDS = Words()
+    Words are runs of anything but ASCII white space.  A word's hash is the
+    polynomial of its bytes' numbers: the difference of two prefix sums, moved to
+    power 0; so a word has the same hash wherever it stands.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    before, after, at = [], [], []
+    total, power, inverse, was_space = np.zeros(1, np.uint64), np.uint64(1), np.uint64(1), True
+    with np.errstate(over="ignore"):
+        for i in range(0, len(data), _BLOCK):
+            block = data[i : i + _BLOCK]
+            sums = np.cumsum(np.concatenate([total, _NUMBERS[block] * (_POWERS[: len(block)] * power)]), dtype=np.uint64)
+            space = _SPACE[block]
+            change = np.flatnonzero(space != np.concatenate([[was_space], space[:-1]]))
+            starts, ends = change[~space[change]], change[space[change]]
+            before.append(np.stack([sums[starts], _INVERSE[starts] * inverse]))
+            after.append(sums[ends])
+            at.append(starts + i)
+            total, was_space = sums[-1:], bool(space[-1])
+            power, inverse = power * _POWERS[len(block)], inverse * _INVERSE[len(block)]
+        if not was_space:
+            after.append(total)
+        if not at:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        first = np.concatenate(before, axis=1)
+        return (np.concatenate(after) - first[0]) * first[1], np.concatenate(at)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,23 +99,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(text: str | None, s: Settings) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles.
-
-    A-Z are lower-cased and words are runs of anything but ASCII white space;
-    bytes.lower() and bytes.split() do just that.  Fewer words than a shingle
-    has are one shingle; no words, none.
-    """
-    words = text.encode("utf-8", "replace").lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    n = min(s.words, len(h))
+def _windows(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash for each run of ``n`` words."""
     with np.errstate(over="ignore"):
-        total = np.full(len(h) - n + 1, n, np.uint64)
+        total = np.full(max(0, len(h) - n + 1), n, np.uint64)
         for k in range(n):
-            total = _mix(total + h[k : len(h) - n + 1 + k])
-    return np.unique(total)
+            total = _mix(total + h[k : k + len(total)])
+    return total
+
+
+def shingle_sets(texts: list[bytes | None], s: Settings) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of each text's shingles.
+
+    Fewer words than a shingle has are one shingle; no words, none.
+    """
+    raws = [t or b"" for t in texts]
+    h, at = word_hashes(b" ".join(raws))
+    edges = np.searchsorted(at, np.cumsum([0] + [len(r) + 1 for r in raws])).tolist()
+    windows, out = _windows(h, s.words), []
+    for i, j in zip(edges, edges[1:]):
+        x = np.sort(windows[i : j - s.words + 1] if j - i >= s.words else _windows(h[i:j], j - i)) if i < j else h[:0]
+        new = np.ones(len(x), bool)
+        np.not_equal(x[1:], x[:-1], out=new[1:])
+        out.append(x[new])
+    return out
 
 
 def set_hash(raw: bytes) -> list[int]:
@@ -94,17 +133,17 @@ def set_hash(raw: bytes) -> list[int]:
 
 def _functions(s: Settings) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(s.seed)
-    full = np.iinfo(np.uint64).max
-    return rng.integers(0, full, VALUES, np.uint64) | np.uint64(1), rng.integers(0, full, VALUES, np.uint64)
+    return rng.integers(0, 1 << 32, (VALUES, 1), np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, (VALUES, 1), np.uint32)
 
 
 def signature(shingles: np.ndarray, times: np.ndarray, plus: np.ndarray) -> np.ndarray:
-    """64 values of 16 bits."""
-    least = np.full(VALUES, np.iinfo(np.uint64).max, np.uint64)
-    with np.errstate(over="ignore"):
-        for i in range(0, len(shingles), 2048):
-            least = np.minimum(least, ((shingles[i : i + 2048, None] ^ plus) * times).min(0))
-    return ((least ^ (least >> np.uint64(23))) & np.uint64(0xFFFF)).astype("<u2")
+    """64 values of 16 bits, of the least 32-bit hashes."""
+    halves, least = (shingles >> np.uint64(32)).astype(np.uint32), np.full(VALUES, np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(halves), 1024):
+        hashes = halves[i : i + 1024] ^ plus
+        hashes *= times
+        np.minimum(least, hashes.min(1), out=least)
+    return (least * np.uint32(0x9E3779B1) >> np.uint32(16)).astype("<u2")
 
 
 def chunk_keys(signature: np.ndarray) -> np.ndarray:
@@ -129,8 +168,7 @@ def describe(docs: DataFrame, s: Settings, batch_bytes: int = 1 << 20) -> DataFr
         times, plus = _functions(s)
         for batch in slices(batches, "text", batch_bytes):
             n, k1, k2, sig = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                x = shingle_set(text, s)
+            for x in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), s):
                 raw = x.tobytes()
                 n.append(len(x))
                 for column, k in zip((k1, k2), set_hash(raw)):
@@ -180,7 +218,7 @@ def _sets(wanted: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scra
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", batch_bytes):
-            raws = [shingle_set(t, s).tobytes() for t in batch.column(1).to_pylist()]
+            raws = [x.tobytes() for x in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), s)]
             keep = pa.array([set_hash(raw) == k for raw, *k in zip(raws, batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raws, pa.binary())], ["rep", "shingles"]).filter(keep)
 
