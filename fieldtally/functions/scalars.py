@@ -65,6 +65,15 @@ def currency(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
 
 
+def amount(c: Column) -> Column:
+    """A number, or an amount as people write it ("Rp 4.100.000,50": dots between
+    thousands, decimal comma), as double; null for anything else."""
+    bare = F.regexp_replace(F.trim(c.cast("string")), r"(?i)^rp\.?\s*|,-$", "")
+    written = bare.rlike(r"^-?[1-9][0-9]{0,2}(\.[0-9]{3})+(,[0-9]+)?$|^-?[0-9]+,[0-9]+$")
+    text = F.when(written, F.translate(bare, ",.", ".")).otherwise(bare).try_cast("double")
+    return F.when(F.typeof(c) == "string", text).otherwise(c.try_cast("double"))
+
+
 def bracketed(c: Column) -> Column:
     """"[04] NAME" as code and name; text without brackets has a null code."""
     return F.struct(F.nullif(F.regexp_extract(c, r"^\s*\[([^\]]*)\]", 1), F.lit("")).alias("code"), F.trim(F.regexp_replace(c, r"^\s*\[[^\]]*\]\s*", "")).alias("name"))

@@ -8,15 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import amount
+
 
 @dataclass(frozen=True)
 class SumRule:
-    """``total`` should equal the sum of ``parts`` within ``tolerance``."""
+    """``total`` should equal the sum of ``parts`` within ``tolerance``; an amount
+    that is kept as text (``written``) is read as people write it."""
 
     name: str
     total: str
     parts: tuple[str, ...]
     tolerance: float = 0.5
+    written: bool = False
 
 
 @dataclass(frozen=True)
@@ -31,6 +35,7 @@ class ConstantRule:
 
 _COSTS = ("gaji", "biaya_produksi", "biaya_pembelian", "operasional", "non_operasional")
 _OWNERS = ("pribadi", "non_profit", "non_publik", "publik", "pemerintah", "asing")
+_FOUNDERS = ("pribadi_didirikan", "nonprofit_didirikan", "publik_didirikan", "nonpublik_didirikan", "pemerintah_didirikan", "asing_didirikan")
 
 # The sums that the questionnaire's labels state.
 BUSINESS_RULES: list[SumRule | ConstantRule] = [
@@ -42,7 +47,8 @@ BUSINESS_RULES: list[SumRule | ConstantRule] = [
     ConstantRule("ownership", 100, _OWNERS),
     SumRule("costs_month", "total_pengeluaran_bln", tuple(f"{c}_bln" for c in _COSTS)),
     SumRule("income_month", "total_pendapatan_bln", ("nilai_pendapatan_bln", "pendapatan_lain_bln")),
-    SumRule("assets_month", "total_aset_bln", ("aset_usaha_bln", "aset_lain_bln")),
+    SumRule("assets_month", "total_aset_bln", ("aset_tanah_bln", "aset_lain_bln"), written=True),
+    ConstantRule("ownership_started", 100, _FOUNDERS),
 ]
 
 
@@ -53,7 +59,7 @@ def _amount(c: str) -> Column:
 def _verdict(rule: SumRule | ConstantRule) -> Column:
     total = sum((_amount(c) for c in rule.parts), F.lit(0.0))
     if isinstance(rule, SumRule):
-        stated = F.col(rule.total).try_cast("double")
+        stated = amount(F.col(rule.total)) if rule.written else F.col(rule.total).try_cast("double")
         return F.when(stated.isNotNull(), F.abs(stated - total) <= rule.tolerance)
     given = F.coalesce(*(F.col(c).try_cast("double") for c in rule.parts)).isNotNull()
     return F.when(given, F.abs(total - rule.value) <= rule.tolerance)

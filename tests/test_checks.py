@@ -1,6 +1,11 @@
+import os
+import re
+
 import pytest
 
+from fieldtally.functions import scalars
 from fieldtally.operators import checks
+from tests.conftest import ROOT
 
 
 def test_rules(spark):
@@ -34,3 +39,46 @@ def test_rule_names_are_unique():
     assert len(names) == len(set(names))
     with pytest.raises(AttributeError):
         checks.BUSINESS_RULES[0].name = "x"
+
+
+def business_columns():
+    """The columns that FIXTURES.md lists for se2026_nested, by type."""
+    with open(f"{ROOT}/FIXTURES.md") as f:
+        part = re.search(r"### `se2026_nested`(.*?)\n### ", f.read(), re.S)[1]
+    return {c.strip(): kind for kind, names in re.findall(r"^- (VARCHAR|INTEGER|DOUBLE) \(\d+\): (.*)$", part, re.M) for c in names.split(",")}
+
+
+def test_every_business_rule_fires_on_the_columns_of_its_table(spark):
+    kinds = {"VARCHAR": "string", "INTEGER": "int", "DOUBLE": "double"}
+    columns = business_columns()
+    empty = dict.fromkeys(columns)
+    rows = []
+    for key, off in ((1, 0), (2, 7)):
+        row = dict(empty)
+        for rule in checks.BUSINESS_RULES:
+            parts = dict(zip(rule.parts, [10, 20, 30, 15, 5, 20]))
+            if isinstance(rule, checks.SumRule):
+                parts[rule.total] = sum(parts.values()) + off
+            else:
+                parts[rule.parts[-1]] += off
+            row |= parts
+        assert set(row) == set(columns), set(row) - set(columns)
+        rows.append((key, *(None if row[c] is None else {"string": str, "int": int, "double": float}[kinds[k]](row[c]) for c, k in columns.items())))
+    df = spark.createDataFrame([*rows, (3, *empty.values())], "id int, " + ", ".join(f"`{c}` {kinds[k]}" for c, k in columns.items()))
+    out = {(r.id, r.rule): r.ok for r in checks.check(df, "se2026_nested", ["id"], checks.BUSINESS_RULES).collect()}
+    assert out == {(i, r.name): ok for i, ok in ((1, True), (2, False), (3, None)) for r in checks.BUSINESS_RULES}
+    assert {"assets_month", "ownership_started"} <= {r.name for r in checks.BUSINESS_RULES}
+
+
+def test_monthly_assets_are_read_from_text(spark):
+    texts = {"36550000": True, "Rp 36.550.000": True, "36.550.000": True, "rp. 36.550.000,00": True, "36550000.0": True, "Rp 36.550.001": False, "36.550": False, "": None, "Rp": None, "-": None}
+    df = spark.createDataFrame([(t, 36_000_000.0, 550_000.0) for t in texts], "total_aset_bln string, aset_tanah_bln double, aset_lain_bln double")
+    assert {r.total_aset_bln: r.ok for r in checks.check(df, "t", ["total_aset_bln"], checks.BUSINESS_RULES).collect()} == texts
+
+
+def test_amount(spark):
+    want = {"4100": 4100.0, "Rp 4.100.000": 4100000.0, "1.500,25": 1500.25, "-1.500": -1500.0, "0.125": 0.125, "1,5": 1.5, "Rp500,-": 500.0, "3.655E7": 36550000.0, "x": None, "": None}
+    df = spark.createDataFrame([(k,) for k in want], "t string")
+    assert {r.t: r.a for r in df.select("t", scalars.amount(df.t).alias("a")).collect()} == want
+    number = spark.sql("select 12.345d as x")
+    assert [r.a for r in number.select(scalars.amount(number.x).alias("a")).collect()] == [12.345]
