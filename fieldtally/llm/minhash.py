@@ -206,23 +206,28 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _fit(df: DataFrame, s: Settings) -> DataFrame:
+    return F.broadcast(df) if df.count() <= s.broadcast_ids else df
+
+
 def _sets(wanted: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scratch: Scratch, batch_bytes: int = 1 << 20) -> DataFrame:
     """``rep`` and its ``shingles``, for the ``rep``s of ``wanted``.
 
-    Sets are made again, for these documents only; the ids are sent to all tasks
-    if there are few enough, else joined.
+    Sets are made again, for the documents with their least ids only; ids and
+    hashes are sent to all tasks if there are few enough, else joined.
     """
-    ids = scratch.hold(wanted.distinct().join(reps, "rep").select(F.col("rep").alias("doc_id"), "k1", "k2"), "wanted")
-    few = ids.count() <= s.broadcast_ids
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(ids) if few else ids, "doc_id")
+    some = scratch.hold(wanted.distinct().join(reps, "rep").select("rep", "least", "k1", "k2"), "wanted")
+    ids = scratch.hold(some.select(F.col("least").alias("doc_id")).distinct(), "ids")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(_fit(ids, s), "doc_id", "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", batch_bytes):
             raws = [x.tobytes() for x in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist(), s)]
-            keep = pa.array([set_hash(raw) == k for raw, *k in zip(raws, batch.column(2).to_pylist(), batch.column(3).to_pylist())], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raws, pa.binary())], ["rep", "shingles"]).filter(keep)
+            keys = [set_hash(raw) for raw in raws]
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(raws, pa.binary())], ["k1", "k2", "shingles"])
 
-    return scratch.hold(texts.mapInArrow(sets, "rep long, shingles binary").dropDuplicates(["rep"]), "sets")
+    made = texts.mapInArrow(sets, "k1 long, k2 long, shingles binary").join(_fit(some.select("rep", "k1", "k2"), s), ["k1", "k2"])
+    return scratch.hold(made.select("rep", "shingles").dropDuplicates(["rep"]), "sets")
 
 
 def _confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
@@ -354,6 +359,31 @@ def _confirmed_components(pairs: DataFrame, members: DataFrame, reps: DataFrame,
     return tiles.repartition(*tile).sortWithinPartitions(*tile).mapInArrow(compare, "a long, b long")
 
 
+def _linked(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows' signatures; the distinct sets of each id (``id``, ``k1``, ``k2``);
+    the distinct sets (``rep``, ``least`` id, ``k1``, ``k2``), numbered in the order
+    of their least ids; and the links ``a``, ``b`` between them."""
+    described = Table(describe(docs, s), "signatures").read()
+    sets = Table(described.where("id is not null and n_shingles > 0").groupBy("id", "k1", "k2").agg(F.min("sig").alias("sig")), "sets").read()
+    distinct = sets.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.min("sig").alias("sig")).orderBy("least", "k1", "k2")
+    reps = Table(distinct.withColumn("rep", F.monotonically_increasing_id()), "representatives").read()
+    keys = _keys(reps)
+    leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
+    scratch = Scratch()
+    buckets = scratch.hold(keys.join(leaders, "key"), "buckets")
+    stars = buckets.where("rep > leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    first = scratch.hold(_confirmed(scratch.hold(_near(stars, reps), "pairs"), reps, docs, s, scratch), "links")
+    so_far = components(first)
+    placed = buckets.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
+    rest = placed.join(mixed, "key", "left_semi").join(reps.select("rep", "sig"), "rep").select("key", "rep", "component", "sig")
+    members = scratch.hold(reps.select("rep").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "members")
+    second = _confirmed_components(scratch.hold(_across(rest, s), "pairs"), members, reps, docs, s, scratch)
+    links = Table(first.union(second), "links").read()
+    scratch.drop()  # what follows reads signatures, sets, representatives and links only
+    return described, sets.drop("sig"), reps.drop("sig"), links
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """For each row of ``docs`` (``doc_id``, ``text``): ``doc_id``, ``n_shingles``,
     ``component_id`` and ``kept``.
@@ -367,50 +397,51 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     distance is decided or lies within a component.
 
     Empty sets (null, empty or white text) link with nothing.  A null id has a
-    null component and is kept.  Rows that share an id are one document; if
-    their texts differ, one of their sets, chosen by its hash, stands for it.
-    Other columns are ignored; an empty table gives an empty result.
+    null component and is kept.  Rows that share an id are one document: each of
+    its texts links with others, and all of them are in one component.  Other
+    columns are ignored; an empty table gives an empty result.
     """
-    s = settings
-    docs = docs.select("doc_id", "text")
-    described = Table(describe(docs, s), "signatures").read()
-    own = described.where("id is not null and n_shingles > 0").groupBy("id").agg(F.min(F.struct("k1", "k2", "sig")).alias("set")).select("id", "set.*")
-    sets = Table(own, "sets").read()
-    reps = Table(sets.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.min("sig").alias("sig")), "representatives").read()
-    keys = _keys(reps)
-    leaders = keys.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
-    scratch = Scratch()
-    buckets = scratch.hold(keys.join(leaders, "key"), "buckets")
-    stars = buckets.where("rep > leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    first = scratch.hold(_confirmed(scratch.hold(_near(stars, reps), "pairs"), reps, docs, s, scratch), "links")
-    so_far = components(first)
-    placed = buckets.join(so_far.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
-    rest = placed.join(mixed, "key", "left_semi").join(reps.select("rep", "sig"), "rep").select("key", "rep", "component", "sig")
-    members = scratch.hold(reps.select("rep").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "members")
-    second = _confirmed_components(scratch.hold(_across(rest, s), "pairs"), members, reps, docs, s, scratch)
-    final = components(first.union(second)).withColumnRenamed("node", "rep")
-    scratch.drop()  # what follows reads signatures, representatives and components only
-    of_set = reps.select("k1", "k2", "rep").join(final, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
-    of_id = sets.select("id", "k1", "k2").join(of_set, ["k1", "k2"]).select("id", "component")
+    described, sets, reps, links = _linked(docs.select("doc_id", "text"), settings)
+    least = reps.select("rep", "least")
+    of_ids = links.join(least.withColumnsRenamed({"rep": "a", "least": "u"}), "a").join(least.withColumnsRenamed({"rep": "b", "least": "v"}), "b").select("u", "v")
+    several = sets.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    ties = sets.join(several, "id").join(reps, ["k1", "k2"]).select(F.col("id").alias("u"), F.col("least").alias("v"))
+    final = components(of_ids.union(ties), "u", "v").withColumnRenamed("node", "least")
+    of_set = reps.join(final, "least", "left").select("k1", "k2", F.coalesce("component", "least").alias("component"))
+    of_id = sets.join(of_set, ["k1", "k2"]).groupBy("id").agg(F.min("component").alias("component"))
     labelled = described.select("id", "n_shingles").join(of_id, "id", "left")
     return labelled.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"), F.coalesce(F.coalesce("component", "id") == F.col("id"), F.lit(True)).alias("kept"))
 
 
-def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose document is kept.
+def _with_hashes(rows: DataFrame, s: Settings, batch_bytes: int = 1 << 20) -> DataFrame:
+    """``row`` (all columns), ``id``, ``k1`` and ``k2`` of its set."""
 
-    One row stays for each kept id that repeats; rows with a null id stay.  The
-    ids to leave out are sent to all tasks if there are few enough, else joined.
-    """
-    found = Table(near_duplicates(docs, settings), "near-duplicates").read()
-    gone = found.where("not kept").select("doc_id").distinct()
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", batch_bytes):
+            keys = [set_hash(x.tobytes()) for x in shingle_sets(batch.column(2).cast(pa.binary()).to_pylist(), s)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64())], ["row", "id", "k1", "k2"])
+
+    given = rows.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
+    schema = given.drop("text").schema.add("k1", "long").add("k2", "long")
+    return given.mapInArrow(run, schema)
 
-    def fit(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= settings.broadcast_ids else ids
 
-    rows = docs.join(fit(gone), "doc_id", "left_anti")
-    repeated = fit(again)
-    once = rows.join(repeated, "doc_id", "left_anti")
-    return once.unionByName(rows.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+def without_near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, without near duplicates.
+
+    Of texts that are linked, directly or by others, one text of the least id
+    stays.  Texts are judged one by one, also where they share an id, so a text
+    goes only if one that it is linked with stays; rows equal in id and set are
+    one row.  Rows with a null id stay.  The ids to leave out are sent to all
+    tasks if there are few enough, else joined; only texts of ids that repeat
+    are hashed again.
+    """
+    described, sets, reps, links = _linked(docs.select("doc_id", "text"), settings)
+    roots = reps.join(components(links).withColumnRenamed("node", "rep"), "rep", "left_anti").select(F.col("least").alias("id"), "k1", "k2")
+    gone = Table(sets.join(roots, ["id", "k1", "k2"], "left_anti"), "gone").read()
+    again = Table(described.where("id is not null").groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("id").alias("doc_id")), "again").read()
+    once = docs.join(_fit(gone.select(F.col("id").alias("doc_id")).distinct(), settings), "doc_id", "left_anti")
+    repeated = _fit(again, settings)
+    hashed = _with_hashes(docs.join(repeated, "doc_id", "left_semi"), settings).dropDuplicates(["id", "k1", "k2"])
+    left = hashed.join(gone, ["id", "k1", "k2"], "left_anti").select("row.*")
+    return once.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(left.select(docs.columns))

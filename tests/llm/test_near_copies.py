@@ -83,6 +83,31 @@ def test_document_edges(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    words = lambda c, n=40: [f"{c}{i}" for i in range(n)]
+    a, b, c, d = (" ".join(words(x)) for x in "abcd")
+    near = " ".join([*words("b")[:-1], "other"])  # one shingle differs
+    rows = [(5, a, 1), (5, b, 2), (7, b, 3), (8, near, 4), (9, c, 5), (9, near, 6), (9, c, 7), (9, "", 8), (2**63 - 1, d, 9), (2**63 - 1, a, 10), (-(2**63), d, 11)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    got = minhash.near_duplicates(df).collect()
+    low = -(2**63)
+    assert len(got) == len(rows)
+    assert {r.doc_id: (r.component_id, r.kept) for r in got} == {5: (low, False), 7: (low, False), 8: (low, False), 9: (low, False), 2**63 - 1: (low, False), low: (low, True)}
+    left = minhash.without_near_duplicates(df)
+    assert left.columns == df.columns
+    kept = sorted((r.doc_id, r.text) for r in left.collect())
+    # Every text has one left that it is linked with, and nothing unrelated goes.
+    assert kept == sorted([(5, a), (5, b), (9, c), (9, ""), (low, d)])
+
+
+def test_every_text_of_an_id_links(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    for x, y in ((a, b), (b, a)):  # whichever has the least hash
+        df = spark.createDataFrame([(5, x), (5, y), (7, y)], "doc_id long, text string")
+        assert {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()} == {(5, 5, True), (7, 5, False)}
+        assert sorted((r.doc_id, r.text) for r in minhash.without_near_duplicates(df).collect()) == sorted([(5, x), (5, y)])
+
+
 def test_signatures_within_the_distance_share_a_chunk():
     rng = np.random.default_rng(1)
     for errors in (0, 16, minhash.MOST_ERRORS):
