@@ -255,7 +255,7 @@ def kab_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type")
 def kategori_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     _table(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return run_sql(spark, "SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type", limit=1_000_000)
+    return run_sql(spark, "SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type", limit=None)
 
 
 @query("SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, count(*) AS n FROM events GROUP BY 1, 2")

@@ -67,9 +67,11 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
-def run_sql(spark: SparkSession, text: str, limit: int = 1000) -> DataFrame:
-    """A statement over the registered views, with a row limit; errors are raised."""
-    return spark.sql(text).limit(limit)
+def run_sql(spark: SparkSession, text: str, limit: int | None = 1000) -> DataFrame:
+    """A statement over the registered views, with a row limit (None: all rows);
+    errors are raised."""
+    rows = spark.sql(text)
+    return rows if limit is None else rows.limit(limit)
 
 
 def register(spark: SparkSession, folder: str, tables: Sequence[str]) -> None:
