@@ -89,6 +89,25 @@ def roster_counts(header: DataFrame, roster: DataFrame, key: str, stated: str) -
     return joined.withColumn("ok", F.col("stated") == F.col("counted"))
 
 
+def key_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("assignment_id", "index1"), how: str = "left") -> DataFrame:
+    """Two of the survey's tables on their keys, with the keys of ``left``.
+
+    A key that is text in one and a number in the other (``index1``) is compared
+    as a whole number; a text that is none, or a null, matches nothing.  Columns
+    of ``right`` that ``left`` has too end in ``_right``.
+    """
+    kinds = [(left.schema[k].dataType, right.schema[k].dataType) for k in keys]
+
+    def values(df: DataFrame) -> DataFrame:
+        return df.withColumns({f"_key{i}": F.col(k) if a == b else F.trim(F.col(k).cast("string")).try_cast("bigint") for i, (k, (a, b)) in enumerate(zip(keys, kinds))})
+
+    have = {c.lower() for c in left.columns}
+    other = values(right).drop(*keys)
+    other = other.withColumnsRenamed({c: f"{c}_right" for c in other.columns if c.lower() in have})
+    on = [f"_key{i}" for i in range(len(keys))]
+    return values(left).join(other, on, how).drop(*on)
+
+
 def changed_items(df: DataFrame, keys: Sequence[str], items: Sequence[str], suffix: str = "_new") -> DataFrame:
     """Prelisted against updated values of each item, where they differ."""
     pairs = F.explode(F.array(*(F.struct(F.lit(i).alias("item"), F.col(i).cast("string").alias("before"), F.col(i + suffix).cast("string").alias("after")) for i in items))).alias("i")

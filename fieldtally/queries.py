@@ -229,6 +229,12 @@ def roster_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.roster_counts(header, _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "stated")
 
 
+@query("SELECT o_orderkey AS assignment_id, CAST(o_custkey % 7 AS VARCHAR) AS index1, o_orderpriority, l_quantity FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_linenumber = o_custkey % 7")
+def key_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("assignment_id"), (F.col("o_custkey") % 7).cast("string").alias("index1"), "o_orderpriority")
+    return checks.key_join(left, _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("assignment_id"), F.col("l_linenumber").alias("index1"), "l_quantity"))
+
+
 @query("""SELECT 'lineitem' AS table_name, l_orderkey, l_linenumber, 'parts' AS rule, abs(l_quantity - (l_linenumber + l_suppkey)) <= 0.5 AS ok FROM lineitem
 UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber, 'whole', abs(l_discount + l_tax - 0.1) <= 0.01001 FROM lineitem""")
 def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

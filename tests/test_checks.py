@@ -82,3 +82,11 @@ def test_amount(spark):
     assert {r.t: r.a for r in df.select("t", scalars.amount(df.t).alias("a")).collect()} == want
     number = spark.sql("select 12.345d as x")
     assert [r.a for r in number.select(scalars.amount(number.x).alias("a")).collect()] == [12.345]
+
+
+def test_key_join_of_text_and_number(spark):
+    left = spark.createDataFrame([("a", "1", "x"), ("a", " 02", "y"), ("b", "z", "w"), ("c", None, "v")], "assignment_id string, index1 string, name string")
+    right = spark.createDataFrame([("a", 1, "p"), ("a", 2, "q"), ("b", 1, "r"), ("c", None, "s")], "assignment_id string, index1 int, name string")
+    out = checks.key_join(left, right)
+    assert out.columns == ["assignment_id", "index1", "name", "name_right"]
+    assert {tuple(r) for r in out.collect()} == {("a", "1", "x", "p"), ("a", " 02", "y", "q"), ("b", "z", "w", None), ("c", None, "v", None)}
