@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pieces
-from .common import slices
+from .common import resident, slices
 
 
 def byte_alphabet() -> list[str]:
@@ -113,16 +113,16 @@ class WordBpe:
         return " ".join(map(self.strings.__getitem__, ids))
 
 
-_LOADED: dict[str, tuple[WordBpe, pieces.PieceCache]] = {}
-
-
 def load(path: str) -> tuple[WordBpe, pieces.PieceCache]:
-    if path not in _LOADED:
+    """The encoder of a file and its cache, once for each Python worker."""
+
+    def make():
         with open(path, encoding="utf-8") as f:
             bpe = WordBpe(f.read())
         pattern, fold = pieces.pattern_of(json.loads(bpe.text))
-        _LOADED[path] = bpe, pieces.PieceCache(lambda batch: [np.array(bpe.word_ids(w), "<u4").tobytes() for w in batch], b"".join, pattern, fold, tuple(bpe.special))
-    return _LOADED[path]
+        return bpe, pieces.PieceCache(lambda batch: [pieces.id_bytes(bpe.word_ids(w)) for w in batch], b"".join, pattern, fold, tuple(bpe.special))
+
+    return resident(("bpe", path), make)
 
 
 def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +19,15 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
     The cluster names it in ``spark.checkpoint.dir``; a temporary folder is set
-    only where no one has named one, as in local tests.
+    only where no one has named one and all tasks run in this process, as in
+    tests.  On a cluster without the setting, executors would not see each
+    other's files, so that is an error.
     """
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="fieldtally-")
         spark.sparkContext.setCheckpointDir(named)
         named = spark.sparkContext.getCheckpointDir()
@@ -44,14 +51,20 @@ def _delete_at_exit(spark: SparkSession, path: str) -> None:
 
 
 class Table:
-    """A Parquet table in the shared folder that cuts the lineage of ``df``."""
+    """A Parquet table in the shared folder that cuts the lineage of ``df``.
+
+    Operators drop the tables that nothing reads any more; those that a returned
+    DataFrame reads stay until ``drop_tables`` or the end of the program.
+    """
+
+    live: dict[str, "Table"] = {}
 
     def __init__(self, df: DataFrame, name: str):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/fieldtally/{name}-{uuid.uuid4().hex}"
         self.schema = df.schema
         df.write.option("compression", "zstd").parquet(self.path)
-        atexit.register(_delete_at_exit, self.spark, self.path)
+        self.live[self.path] = self
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
@@ -59,6 +72,39 @@ class Table:
     def drop(self) -> None:
         """Only for tables that no DataFrame still in use reads."""
         _delete(self.spark, self.path)
+        self.live.pop(self.path, None)
+
+
+def drop_tables() -> None:
+    """Drop all tables that operators have written, once their results have been
+    used; for sessions that live long."""
+    for table in list(Table.live.values()):
+        table.drop()
+
+
+@atexit.register
+def _drop_at_exit() -> None:
+    for table in Table.live.values():
+        _delete_at_exit(table.spark, table.path)
+
+
+T = TypeVar("T")
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, make: Callable[[], T]) -> T:
+    """What ``make`` gives, kept by a Python worker for its next tasks.
+
+    Workers outlive stages, so what another operator has kept is let go first:
+    a worker holds the state of one operator at a time, however many run in a
+    session.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -99,19 +145,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return Table(df, name).read()
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in runs of about ``most_bytes`` of ``column``.
+def _cuts(values: pa.Array, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """(first row, number of rows) of runs of about ``most_bytes``; a run has one
+    row at least, so a longer value stands alone."""
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_pylist()
+    first = held = 0
+    for row, n in enumerate(sizes):
+        if held + n > most_bytes and row > first:
+            yield first, row - first
+            first, held = row, 0
+        held += n
+    if len(sizes) > first:
+        yield first, len(sizes) - first
 
-    A run has one row at least, so a longer value stands alone.
-    """
+
+def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in runs of about ``most_bytes`` of ``column``."""
     for batch in batches:
-        at = batch.schema.get_field_index(column)
-        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
-        first = held = 0
-        for row, n in enumerate(sizes):
-            if held + n > most_bytes and row > first:
-                yield batch.slice(first, row - first)
-                first, held = row, 0
-            held += n
-        if batch.num_rows > first:
-            yield batch.slice(first)
+        for first, n in _cuts(batch.column(batch.schema.get_field_index(column)), most_bytes):
+            yield batch.slice(first, n)
+
+
+def in_runs(values: pa.Array, most_bytes: int, each: Callable[[list], pa.Array]) -> pa.Array:
+    """``each`` of the Python values of runs of about ``most_bytes``, put together."""
+    return pa.concat_arrays([pa.array([], pa.float64())] + [each(values.slice(first, n).to_pylist()) for first, n in _cuts(values, most_bytes)])

@@ -19,8 +19,8 @@ def training_labels(labels: DataFrame, target: str, folds: int, fold: int) -> Da
 
 
 def sample(rows: DataFrame, id_col: str, most: int, total: int) -> DataFrame:
-    """About ``most`` of ``total`` rows, ``most`` at the most, by a hash of the id."""
+    """About ``most`` of ``total`` rows of different ids, by a hash of the id."""
     if total > most:
         bound = int(most / total * 2**32)
         rows = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.lit(17)), F.lit(2**32)) < bound)
-    return rows.limit(most)
+    return rows

@@ -11,8 +11,12 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 
+from .common import resident
+
 #: The characters with Unicode's White_Space property.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WHITE_RUN = re.compile(f"[{WHITE}]+")
@@ -71,22 +75,28 @@ _KNOWN = re.compile("[\x00-\u012f\u0131-\u017f]*")
 _INNER_WHITE = re.compile(r"(?s).\s")
 
 
+#: Rough bytes of a remembered entry besides its text and value.
+_ENTRY_BYTES = 160
+#: Longer pieces are rare and are encoded each time.
+_LONGEST_KEPT = 48
+
+
 class PieceCache:
-    """piece -> value, at two levels.
+    """text -> value, for pieces and for parts of pieces alike.
 
     A piece that isn't known is cut again at the matches of ``pattern`` (the
     tokenizer's own splits), and what isn't known of those is encoded in batches
-    of about ``batch_bytes``.  Each level holds ``most`` entries; what comes
-    later is worked out again each time.
+    of about ``batch_bytes``.  Entries of ``most_bytes`` in all are remembered;
+    what comes later, and long pieces, are worked out each time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most: tuple[int, int] = (600_000, 900_000), batch_bytes: int = 1 << 18):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 80 << 20, batch_bytes: int = 1 << 18):
         import regex
 
-        self.encode, self.join, self.fold, self.never, self.most, self.batch_bytes = encode, join, fold, never, most, batch_bytes
+        self.encode, self.join, self.fold, self.never, self.most_bytes, self.batch_bytes = encode, join, fold, never, most_bytes, batch_bytes
         self.find = regex.compile(pattern).findall if pattern else None
-        self.pieces: dict = {}
-        self.parts: dict = {}
+        self.known: dict = {}
+        self.bytes = 0
 
     def _cut(self, piece: str) -> list[str]:
         if self.find is not None:
@@ -102,12 +112,18 @@ class PieceCache:
             return [piece]
         return self.find(piece.lower() if self.fold else piece)
 
+    def _keep(self, values: dict) -> None:
+        if self.bytes < self.most_bytes:
+            kept = {x: v for x, v in values.items() if len(x) <= _LONGEST_KEPT}
+            self.known.update(kept)
+            self.bytes += sum(_ENTRY_BYTES + len(x) + (len(v) if isinstance(v, bytes) else 0) for x, v in kept.items())
+
     def _learn(self, new: set[str]) -> dict:
+        known = self.known
         cuts = {p: self._cut(p) for p in new}
-        wanted = {x for cut in cuts.values() for x in cut if x not in self.parts}
         found: dict = {}
         batch, held = [], 0
-        for x in wanted:
+        for x in {x for cut in cuts.values() for x in cut if x not in known}:
             batch.append(x)
             held += len(x)
             if held >= self.batch_bytes:
@@ -115,17 +131,14 @@ class PieceCache:
                 batch, held = [], 0
         if batch:
             found.update(zip(batch, self.encode(batch)))
-        parts = self.parts
-        values = {p: self.join([parts[x] if x in parts else found[x] for x in cut]) for p, cut in cuts.items()}
-        if len(self.parts) + len(found) <= self.most[1]:
-            self.parts.update(found)
-        if len(self.pieces) + len(values) <= self.most[0]:
-            self.pieces.update(values)
+        values = {p: self.join([known[x] if x in known else found[x] for x in cut]) for p, cut in cuts.items()}
+        self._keep(found)
+        self._keep({p: v for p, v in values.items() if p not in found})
         return values
 
     def __call__(self, texts: list[list[str]]) -> list:
         """The joined value of each text, which is given as its pieces."""
-        get = self.pieces.get
+        get = self.known.get
         looked = [list(map(get, pieces)) for pieces in texts]
         gaps = [k for k, values in enumerate(looked) if None in values]
         if gaps:
@@ -135,6 +148,14 @@ class PieceCache:
         return [self.join(values) for values in looked]
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
 #: Fixed value: how byte-level tokenizers split text before merging, without its white-space cases.
 _BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 
@@ -149,18 +170,15 @@ def pattern_of(definition: dict) -> tuple[str | None, bool]:
     return None, False
 
 
-_LOADED: dict[tuple, tuple] = {}
-
-
 def load(path: str, kind: str):
     """(cutter, cache) for a tokenizer file, once for each Python worker.
 
     ``kind``: ``lengths`` caches token counts, ``ids`` little-endian unsigned
     32-bit ids.
     """
-    if (path, kind) not in _LOADED:
+
+    def make():
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import numpy as np
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_file(path)
@@ -172,8 +190,9 @@ def load(path: str, kind: str):
         def run(batch):
             return tok.encode_batch_fast(batch, add_special_tokens=False)
 
-        encode, join = {"lengths": (lambda b: map(len, run(b)), sum), "ids": (lambda b: [np.array(e.ids, "<u4").tobytes() for e in run(b)], b"".join)}[kind]
+        encode, join = {"lengths": (lambda b: map(len, run(b)), sum), "ids": (lambda b: [id_bytes(e.ids) for e in run(b)], b"".join)}[kind]
         pattern, fold = pattern_of(definition)
         never = tuple(t["content"] for t in definition.get("added_tokens") or [])
-        _LOADED[path, kind] = cutter(definition), PieceCache(encode, join, pattern, fold, never)
-    return _LOADED[path, kind]
+        return cutter(definition), PieceCache(encode, join, pattern, fold, never)
+
+    return resident(("pieces", path, kind), make)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import in_runs, resident, slices
 from .labelled import held_out, sample, training_labels
 
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
@@ -21,8 +21,8 @@ _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 @dataclass(frozen=True)
 class Settings:
     """``buckets`` words share each hashed vector of ``dims``; ``window`` words on
-    either side are a word's context; at most ``most_rows`` labelled rows train
-    the network of ``hidden`` units."""
+    either side are a word's context; about ``most_rows`` labelled rows, chosen by
+    a hash of the id, train the network of ``hidden`` units."""
 
     buckets: int = 8192
     dims: int = 32
@@ -35,15 +35,15 @@ class Settings:
 
 
 class Buckets(dict):
-    """token -> bucket, remembered for up to ``most`` tokens."""
+    """token -> bucket, remembered for up to ``most`` tokens of usual length."""
 
-    def __init__(self, buckets: int, most: int = 500_000):
+    def __init__(self, buckets: int, most: int = 250_000):
         super().__init__()
         self.buckets, self.most = buckets, most
 
     def __missing__(self, token: str) -> int:
         bucket = zlib.crc32(token.encode("utf-8", "replace")) % self.buckets
-        if len(self) < self.most:
+        if len(self) < self.most and len(token) <= 32:
             self[token] = bucket
         return bucket
 
@@ -52,11 +52,8 @@ class Buckets(dict):
         return np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
 
 
-_BUCKETS: dict[int, Buckets] = {}
-
-
 def _buckets(n: int) -> Buckets:
-    return _BUCKETS.setdefault(n, Buckets(n))
+    return resident(("quality", n), lambda: Buckets(n))
 
 
 def index_vectors(s: Settings) -> np.ndarray:
@@ -196,48 +193,54 @@ def train(x: np.ndarray, y: np.ndarray, s: Settings, default: float = 1.0) -> Ne
     return Network(mean, scale, *p[:3], float(p[3][0]), float(temperature))
 
 
-def _features(rows: DataFrame, vectors, s: Settings, extra: str, batch_bytes: int = 1 << 20) -> DataFrame:
+def _features(rows: DataFrame, vectors, s: Settings, batch_bytes: int = 1 << 20) -> DataFrame:
+    """``doc_id``, ``label`` and the features ``x`` of labelled texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets, table = _buckets(s.buckets), vectors.value
         for batch in slices(batches, "text", batch_bytes):
-            x = [pooled(buckets.of(t), table).tolist() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float32()))], [extra, "x"])
+            x = [pooled(buckets.of(t), table).tolist() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(x, pa.list_(pa.float32()))], ["doc_id", "label", "x"])
 
-    return rows.mapInArrow(run, f"{extra} int, x array<float>")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, label int, x array<float>")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, folds: int = 4, fold: int = 2, settings: Settings = Settings(), batch_bytes: int = 1 << 20) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` and ``predicted`` in one column
-    ``quality`` (a struct), so that no other column's name can clash.
+    """``docs`` as one column ``row``, and ``quality``, a struct of ``held_out``,
+    ``score`` and ``predicted``; so no other column's name can clash.
 
-    Word vectors are summed over all texts; the network is trained on at most
-    ``settings.most_rows`` labelled rows outside the held-out fold; then every
-    text is scored in one pass without a shuffle.  The label, language, source
-    and id of a document are not inputs of its score.
+    Word vectors are summed over all texts; the network is trained on about
+    ``settings.most_rows`` labelled rows outside the held-out fold, of which only
+    the features leave their tasks; then every text is scored in one pass without
+    a shuffle.  Only texts go to Python, so columns of any type may stand beside
+    them.  The label, language, source and id of a document are not inputs of its
+    score.
 
     A null or empty text is scored as a text without words.  Null ids are never
-    held out and never trained on; repeated rows get equal scores; an empty
-    table gives an empty result; with labels of one class alone every score is
-    that class, with none 1.
+    held out and never trained on; rows that share an id are trained on as one
+    (with the least features); repeated rows get equal scores; an empty table
+    gives an empty result; with labels of one class alone every score is that
+    class, with none 1.
     """
     spark, s = docs.sparkSession, settings
     vectors = spark.sparkContext.broadcast(word_vectors(docs, s))
     known = training_labels(labels, "quality", folds, fold)
     chosen = F.broadcast(sample(known, "doc_id", s.most_rows, known.count()))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("label", "text").limit(s.most_rows)
-    table = _features(rows, vectors, s, "label").toPandas()
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("doc_id", "label", "text")
+    table = _features(rows, vectors, s).groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")).select("label", "x").toPandas()
     y = table["label"].to_numpy(np.float64)
     x = np.stack(table["x"]).astype(np.float64) if len(y) else np.zeros((0, 3 * s.dims + 1))
     order = np.lexsort([*x.T[:4], y])  # the same rows in any order give the same network
     network = spark.sparkContext.broadcast(train(x[order], y[order], s))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         buckets, w = _buckets(s.buckets), vectors.value
-        for batch in slices(batches, "text", batch_bytes):
-            x = np.stack([pooled(buckets.of(t), w) for t in batch.column(1).to_pylist()]).astype(np.float64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(network.value.scores(x))], ["row", "score"])
+        for texts in batches:
+            yield in_runs(texts, batch_bytes, lambda run: pa.array(network.value.scores(np.stack([pooled(buckets.of(t), w) for t in run]).astype(np.float64))))
 
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    scored = plain.mapInArrow(score, plain.select("row").schema.add("score", "double"))
+    # non-deterministic: never worked out twice for a filter and a column
+    scored = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), score.asNondeterministic()(F.col("text").cast("string")).alias("score"))
     quality = F.struct(held_out(F.col("row.doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     return scored.select("row", quality.alias("quality"))

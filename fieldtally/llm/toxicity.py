@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Table, slices
+from .common import Table, in_runs, resident, slices
 from .labelled import held_out, training_labels
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -24,7 +25,7 @@ class Settings:
     """Words and their beginnings of ``prefixes`` letters are hashed to
     2**``bits`` features; a feature's value is ``steep`` times its share of the
     words, 1 at most.  About ``most_positive`` confirmed toxic texts and
-    ``most_unlabelled`` others are trained on.  A feature is kept if
+    ``most_unlabelled`` others, chosen by a hash of the id, are trained on.  A feature is kept if
     ``least_texts`` toxic texts have it and its mean there is ``lift`` times the
     unlabelled mean."""
 
@@ -42,10 +43,10 @@ class Settings:
 
 
 class Features(dict):
-    """word -> its features, remembered for up to ``most`` words; only those in
-    ``kept``, if given."""
+    """word -> its features, remembered for up to ``most`` words of usual length;
+    only those in ``kept``, if given."""
 
-    def __init__(self, s: Settings, kept: dict[int, float] | None = None, most: int = 400_000):
+    def __init__(self, s: Settings, kept: dict[int, float] | None = None, most: int = 200_000):
         super().__init__()
         self.s, self.kept, self.most = s, kept, most
 
@@ -54,7 +55,7 @@ class Features(dict):
         found = tuple(zlib.crc32(x.encode("utf-8", "replace")) & ((1 << self.s.bits) - 1) for x in forms)
         if self.kept is not None:
             found = tuple(k for k in found if k in self.kept)
-        if len(self) < self.most:
+        if len(self) < self.most and len(word) <= 32:
             self[word] = found
         return found
 
@@ -67,9 +68,12 @@ class Features(dict):
 
 @dataclass
 class Model:
+    """``key`` tells models apart in the workers that remember words for them."""
+
     weights: dict[int, float]
     bias: float
     constant: float | None = None
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def train(texts: list[tuple[bool, bool, dict[int, float]]], prior: float, s: Settings) -> Model:
@@ -135,20 +139,23 @@ def _select(texts: DataFrame, s: Settings, batch_bytes: int = 1 << 20) -> dict[i
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, s: Settings, batch_bytes: int = 1 << 20) -> Model:
     """Confirmed toxic texts against unlabelled ones, both outside the held-out
-    fold; the class prior is the share of toxic among the labels there."""
+    fold; the class prior is the share of toxic among the labels there.  Of rows
+    that share an id (or have none) the least text stands for all."""
     known = training_labels(labels, "toxic", folds, fold).join(docs.select("doc_id"), "doc_id", "left_semi")
     n = {r.label: r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not n.get(1):
         return Model({}, 0.0, constant=0.0)
     prior = min(0.9, n[1] / sum(n.values()))
     dice = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(2**32))
-    toxic = known.where((F.col("label") == 1) & (dice < int(2**32 * min(1.0, s.most_positive / n[1])))).limit(2 * s.most_positive)
+    toxic = known.where((F.col("label") == 1) & (dice < int(2**32 * min(1.0, s.most_positive / n[1]))))
     total = docs.where(~held_out(F.col("doc_id"), folds, fold)).count()
     other = ~held_out(F.col("doc_id"), folds, fold) & (F.pmod(F.xxhash64("doc_id", F.lit(18)), F.lit(2**32)) < int(2**32 * min(1.0, s.most_unlabelled / total)))
     flagged = docs.join(F.broadcast(toxic.select("doc_id", F.lit(1).alias("p"))), "doc_id", "left")
-    flagged = flagged.select(F.col("text").cast("string").alias("text"), F.coalesce("p", F.lit(0)).alias("p"), F.coalesce(other, F.lit(False)).cast("int").alias("u")).where("p + u > 0")
-    chosen = Table(flagged.limit(2 * (s.most_positive + s.most_unlabelled)), "toxicity")
-    texts = chosen.read().repartition(8)
+    flagged = flagged.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce("p", F.lit(0)).alias("p"), F.coalesce(other, F.lit(False)).cast("int").alias("u")).where("p + u > 0")
+    # one row for each id, so that a sample by ids is bounded in rows too
+    once = flagged.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("p").alias("p"), F.max("u").alias("u"))
+    chosen = Table(once.select("text", "p", "u").repartition(8), "toxicity")
+    texts = chosen.read()
     kept = _select(texts, s)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,8 +186,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     ``score`` and ``predicted``; so no other column's name can clash.
 
     The model is trained on a bounded sample (``settings``) outside the held-out
-    fold; then every whole text is scored in one pass without a shuffle.  The
-    label, language, source and id of a document are not inputs of its score.
+    fold; then every whole text is scored in one pass without a shuffle.  Only
+    texts go to Python, so columns of any type may stand beside them.  The label,
+    language, source and id of a document are not inputs of its score.
 
     A null or empty text is scored as a text without words.  Null ids are never
     held out; repeated rows get equal scores; an empty table gives an empty
@@ -189,12 +197,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     own = docs.select("doc_id", "text")
     model = docs.sparkSession.sparkContext.broadcast(fit(own, labels, folds, fold, settings))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value, settings)
-        for batch in slices(batches, "text", batch_bytes):
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([scorer.score(t) for t in batch.column(1).to_pylist()], pa.float64())], ["row", "score"])
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        scorer = resident(("toxicity", model.value.key), lambda: Scorer(model.value, settings))
+        for texts in batches:
+            yield in_runs(texts, batch_bytes, lambda run: pa.array(map(scorer.score, run), pa.float64()))
 
-    plain = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string").alias("text"))
-    scored = plain.mapInArrow(score, plain.select("row").schema.add("score", "double"))
+    # non-deterministic: never worked out twice for a filter and a column
+    scored = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), score.asNondeterministic()(F.col("text").cast("string")).alias("score"))
     toxicity = F.struct(held_out(F.col("row.doc_id"), folds, fold).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
     return scored.select("row", toxicity.alias("toxicity"))
