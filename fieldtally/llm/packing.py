@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -19,65 +20,126 @@ from .common import Table, slices
 Content = tuple[tuple[int, int], ...]
 
 
-def best_configurations(lengths: np.ndarray, prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pricing problem, a knapsack solved by dynamic programming: for every
-    room up to ``capacity``, the length placed last in the most valuable filling
-    and the least room that holds as much."""
-    value, last, least = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64), np.zeros(capacity + 1, np.int64)
-    fit = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(1, capacity + 1):
-        value[room], least[room] = value[room - 1], least[room - 1]
-        if fit[room]:
-            worth = prices[: fit[room]] + value[room - lengths[: fit[room]]]
-            best = int(worth.argmax())
-            if worth[best] > value[room]:
-                value[room], last[room], least[room] = worth[best], best, room
-    return last, least
-
-
-def _trace(lengths: np.ndarray, last: np.ndarray, least: np.ndarray, room: int) -> list[int]:
-    out = []
-    while room := int(least[room]):
-        out.append(int(last[room]))
-        room -= int(lengths[last[room]])
-    return out
-
-
-def solve(histogram: dict[int, int], capacity: int, rounds: int = 16, eta: float = 4.0) -> tuple[Counter, dict[int, int]]:
-    """Cover the length histogram with configurations: how often each is used,
-    and how many of each length are left.
-
-    The covering program asks for the fewest sequences whose configurations
-    hold every length as often as it occurs.  Multiplicative weights price a
-    length by its size, times exp(-eta) to how far it is covered beyond its
-    share of the rounds so far.  In each round, one dynamic program finds the
-    most valuable filling of every room; each length that is behind is joined
-    with the filling of the room it leaves.  Amounts are rounded down to whole
-    sequences.  The work depends on the number of different lengths (at most
-    ``capacity``) and on ``rounds``, not on how many pieces there are.
+def best_fillings(lengths: np.ndarray, most: np.ndarray, prices: np.ndarray, capacity: int, order: np.ndarray, rooms: np.ndarray) -> tuple[float, list[dict[int, int]]]:
+    """The pricing problem: a knapsack with at most ``most`` copies of each length.
+
+    One dynamic program gives the greatest value that ``capacity`` can hold and,
+    for each of ``rooms``, the copies of each length in its best filling.  Copies
+    are bundled by powers of two; of equal fillings the one of lengths that come
+    first in ``order`` is taken.
+    """
+    value, bundles, chosen = np.zeros(capacity + 1), [], []
+    left, copies = most.copy(), 1
+    while (left > 0).any():
+        for i in order[left[order] > 0].tolist():
+            k = min(copies, int(left[i]))
+            left[i] -= k
+            size = k * int(lengths[i])
+            if size > capacity:
+                continue
+            worth = value[: capacity + 1 - size] + k * prices[i]
+            better = worth > value[size:] + 1e-12
+            if better.any():
+                value[size:][better] = worth[better]
+                bundles.append((i, k, size))
+                chosen.append((better, size))
+        copies *= 2
+    room, fillings = rooms.copy(), [{} for _ in rooms]
+    for (i, k, size), (better, first) in zip(reversed(bundles), reversed(chosen)):
+        fits = np.flatnonzero(room >= first)
+        for a in fits[better[room[fits] - first]].tolist():
+            fillings[a][i] = fillings[a].get(i, 0) + k
+            room[a] -= size
+    return float(value[capacity]), fillings
+
+
+def solve(histogram: dict[int, int], capacity: int, sweeps: int = 8, group: int = 64, eta: float = 4.0, slack: float = 3.0, near: float = 0.0005, seed: int = 0) -> tuple[dict[Content, float], float]:
+    """The configuration program by multiplicative weights: how much of each
+    configuration is used, in fractions, and a lower bound on the sequences.
+
+    The program covers every length as often as it occurs with the fewest
+    configurations.  A length's weight is its size times exp(-eta * progress),
+    its progress being the share that is covered so far.  In each step the
+    lengths that are furthest behind, ``group`` of them, are priced by their
+    weights; the knapsack gives the best filling around each of them; and those
+    within ``near`` of the best value are used until the length has come forward
+    by 1 / ``sweeps``, no other length being carried ahead by more than
+    ``slack`` times that.  So every length is covered once at the most.  What no
+    good configuration takes stays uncovered.
+
+    The bound is the program's dual: weights over the greatest value that a
+    sequence can hold of them, by a knapsack over all lengths.  The work depends
+    on the number of different lengths, at most ``capacity``, not on the pieces.
     """
     lengths = np.array(sorted(histogram), np.int64)
     demand = np.array([histogram[x] for x in lengths], np.int64)
-    covered = np.zeros(len(lengths), np.int64)
-    used: Counter = Counter()
-    for t in range(rounds):
-        share = covered / demand - t / rounds
-        prices = lengths / capacity * np.exp(-eta * share)
-        prices[covered >= demand] = 0
-        last, least = best_configurations(lengths, prices, capacity)
-        target = np.ceil(demand * ((t + 1) / rounds)).astype(np.int64)
-        for anchor in range(len(lengths) - 1, -1, -1):
-            filling = None
-            while (need := int(target[anchor] - covered[anchor])) > 0:
-                if filling is None:
-                    filling = Counter([anchor, *_trace(lengths, last, least, int(capacity - lengths[anchor]))])
-                amount = min([need, *(int(demand[i] - covered[i]) // k for i, k in filling.items())])
-                if amount < 1:
-                    break
+    rng, covered = np.random.default_rng(seed), np.zeros(len(lengths))
+    amounts: dict[Content, float] = defaultdict(float)
+    for _ in range(2 * sweeps * (1 + len(lengths) // group)):
+        progress = covered / demand
+        behind = np.flatnonzero(progress < 1 - 1e-9)
+        if not len(behind):
+            break
+        pick = np.sort(behind[np.argsort(progress[behind] + rng.random(len(behind)) * 2 / sweeps)[:group]])
+        own, need, at, c = lengths[pick], demand[pick], progress[pick], covered[pick]
+        prices = own / capacity * np.exp(-eta * (at - at.min()))
+        best, fillings = best_fillings(own, np.minimum(need, capacity // own), prices, capacity, rng.permutation(len(own)), capacity - own)
+        goal = min(1.0, float(np.median(at)) + 1 / sweeps)
+        ceiling = need * min(1.0, goal + slack / sweeps)
+        for a in range(len(own) - 1, -1, -1):
+            wanted, filling = need[a] * goal - c[a], fillings[a]
+            filling[a] = min(filling.get(a, 0) + 1, int(need[a]))
+            full = sum(int(own[i]) * k for i, k in filling.items()) == capacity
+            if wanted <= 0 or not (full or sum(prices[i] * k for i, k in filling.items()) >= (1 - near) * best):
+                continue
+            amount = min([wanted / filling[a], *((ceiling[i] - c[i]) / k for i, k in filling.items())])
+            if amount > 1e-6 * need[a]:
                 for i, k in filling.items():
-                    covered[i] += amount * k
-                used[tuple(sorted(((int(lengths[i]), k) for i, k in filling.items()), reverse=True))] += amount
-    return used, {int(x): int(d - c) for x, d, c in zip(lengths, demand, covered) if d > c}
+                    c[i] += amount * k
+                amounts[tuple(sorted(((int(own[i]), k) for i, k in filling.items()), reverse=True))] += amount
+        covered[pick] = c
+    bound = 0.0
+    for weight in (lengths / capacity, lengths / capacity * np.exp(-eta * covered / demand)):
+        if len(lengths):
+            best, _ = best_fillings(lengths, np.minimum(demand, capacity // lengths), weight, capacity, np.arange(len(lengths)), np.zeros(0, np.int64))
+            bound = max(bound, float(demand @ weight) / best)
+    return dict(amounts), bound
+
+
+def rounded(histogram: dict[int, int], amounts: dict[Content, float]) -> tuple[Counter, dict[int, int]]:
+    """Whole sequences from a fractional solution, and what is left.
+
+    Amounts are rounded up as long as the pieces suffice, those with the longest
+    pieces first: what is left over is short and easy to place.
+    """
+    left, used = dict(histogram), Counter()
+    for content, amount in sorted(amounts.items(), key=lambda e: (-e[0][0][0], -e[1], e[0])):
+        n = min([math.ceil(amount - 1e-9), *(left[x] // k for x, k in content)])
+        if n > 0:
+            used[content] += n
+            for x, k in content:
+                left[x] -= k * n
+    return used, {x: n for x, n in left.items() if n}
+
+
+def configured(histogram: dict[int, int], capacity: int, rest: float = 0.1, most: int = 8) -> tuple[Counter, dict[int, int], float]:
+    """Whole configurations, what they leave, and the lower bound on sequences.
+
+    The program is solved and rounded; what rounding leaves is solved again as a
+    smaller program, until less than a share ``rest`` of all pieces is left, a
+    round places less than a tenth of its pieces, or ``most`` rounds are over.
+    """
+    left, used, bound, total = dict(histogram), Counter(), 0.0, sum(histogram.values())
+    for k in range(most):
+        amounts, least = solve(left, capacity, seed=k)
+        bound = bound or least
+        now, then = rounded(left, amounts)
+        used.update(now)
+        before, after = sum(left.values()), sum(then.values())
+        left = then
+        if after < rest * total or before - after < before / 10:
+            break
+    return used, left, bound
 
 
 def best_fit(left: dict[int, int], bins: list[tuple[Content, int]], capacity: int) -> list[tuple[Content, int]]:
@@ -121,35 +183,18 @@ def best_fit(left: dict[int, int], bins: list[tuple[Content, int]], capacity: in
     return [entry for entries in open_.values() for entry in entries]
 
 
-def rounded(histogram: dict[int, int], used: Counter, capacity: int, shares: tuple[float, ...] = (1, 0.75, 0.5, 0.25, 0)) -> list[tuple[Content, int]]:
-    """Round a solution to whole sequences and best-fit the rest: the fewest
-    sequences over several shares of the solution that are kept.
-
-    Early configurations leave an even mix of lengths; the last ones to be added
-    may leave lengths that fit together badly, and are better packed with those.
-    """
-    best: list[tuple[Content, int]] = []
-    for share in shares:
-        kept = [(content, int(share * n)) for content, n in used.items() if int(share * n)]
-        left = Counter(histogram)
-        for content, n in kept:
-            left.subtract({x: k * n for x, k in content})
-        packed = best_fit({x: n for x, n in left.items() if n}, kept, capacity)
-        if not best or sum(n for _, n in packed) < sum(n for _, n in best):
-            best = packed
-    return best
-
-
-def plan(histogram: dict[int, int], capacity: int, rounds: int = 16) -> dict[str, np.ndarray]:
+def plan(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
     """Where the r-th piece of each length goes.
 
-    Columns, sorted by ``length`` and ``rank``: from this rank on, the next
-    ``copies`` x ``count`` pieces of that length go to the sequences from
-    ``sequence`` on, ``copies`` into each, from ``offset`` on.
+    Most pieces go where the configuration program puts them; the rest that
+    rounding leaves is best-fit around them.  Columns, sorted by ``length`` and
+    ``rank``: from this rank on, the next ``copies`` x ``count`` pieces of that
+    length go to the sequences from ``sequence`` on, ``copies`` into each, from
+    ``offset`` on.
     """
-    used, _ = solve(histogram, capacity, rounds)
+    used, left, _ = configured(histogram, capacity)
     rows, taken, sequence = [], Counter(), 0
-    for content, count in rounded(histogram, used, capacity):
+    for content, count in best_fit(left, list(used.items()), capacity):
         offset = 0
         for length, copies in content:
             rows.append((length, taken[length], copies, sequence, offset))
@@ -160,7 +205,7 @@ def plan(histogram: dict[int, int], capacity: int, rounds: int = 16) -> dict[str
     return dict(zip(("length", "rank", "copies", "sequence", "offset"), table.T))
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", rounds: int = 16, batch_bytes: int = 1 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
     """Pack all texts into sequences of at most ``capacity`` tokens.
 
     A document is its ids and ``end_id``; only longer ones are cut, into pieces
@@ -205,7 +250,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_
     histogram = {r.length: r.n for r in cutted.groupBy("length").agg(F.count("*").alias("n")).collect()}
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    sent = docs.sparkSession.sparkContext.broadcast(plan(histogram, capacity, rounds))
+    sent = docs.sparkSession.sparkContext.broadcast(plan(histogram, capacity))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = sent.value

@@ -2,6 +2,8 @@
 
 import hashlib
 import json
+import itertools
+import math
 import random
 import zlib
 
@@ -137,21 +139,89 @@ def test_no_documents_no_files(spark, docs):
     assert dac.read_token_files(dac.write_token_files(docs.limit(0), WORD, 2).read()).count() == 0
 
 
+def held_by(bins, capacity):
+    held = {}
+    for content, count in bins:
+        assert sum(x * k for x, k in content) <= capacity
+        for x, k in content:
+            held[x] = held.get(x, 0) + k * count
+    return held
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
 def test_plans_hold_every_piece_once(histogram):
-    used, left = packing.solve(histogram, 64, rounds=4)
-    assert sum(x * k * n for c, n in used.items() for x, k in c) + sum(x * n for x, n in left.items()) == sum(x * n for x, n in histogram.items())
-    final = packing.rounded(histogram, used, 64)
-    held = {}
-    for content, count in final:
-        assert sum(x * k for x, k in content) <= 64
+    amounts, bound = packing.solve(histogram, 64)
+    covered = {}
+    for content, amount in amounts.items():
+        assert amount > 0 and sum(x * k for x, k in content) <= 64 and all(k <= histogram[x] for x, k in content)
         for x, k in content:
-            held[x] = held.get(x, 0) + k * count
-    assert held == histogram
+            covered[x] = covered.get(x, 0) + k * amount
+    assert all(n <= histogram[x] + 1e-6 for x, n in covered.items())
+    used, left, _ = packing.configured(histogram, 64)
+    final = packing.best_fit(left, list(used.items()), 64)
+    assert held_by(final, 64) == histogram
     n, total = sum(c for _, c in final), sum(x * k for x, k in histogram.items())
-    greedy = sum(c for _, c in packing.best_fit(histogram, [], 64))
-    assert -(-total // 64) <= n <= greedy
+    assert -(-total // 64) <= n and bound <= n + 1e-6 and bound >= total / 64 - 1e-6
+
+
+def fewest(pieces, capacity):
+    """The fewest sequences, by trying every place of every piece."""
+    best = len(pieces)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(pieces):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= pieces[i]}:
+            k = rooms.index(room)
+            place(i + 1, sorted([*rooms[:k], *rooms[k + 1 :], room - pieces[i]]))
+        place(i + 1, sorted([*rooms, capacity - pieces[i]]))
+
+    place(0, [])
+    return best
+
+
+def test_packing_against_the_optimum():
+    rng, exact = random.Random(5), 0
+    for _ in range(60):
+        pieces = sorted((rng.randrange(1, 21) for _ in range(rng.randrange(1, 10))), reverse=True)
+        histogram = {x: pieces.count(x) for x in set(pieces)}
+        used, left, bound = packing.configured(histogram, 20)
+        n, best = sum(c for _, c in packing.best_fit(left, list(used.items()), 20)), fewest(pieces, 20)
+        assert bound <= best + 1e-6 and best <= n <= best + 1
+        exact += n == best
+    assert exact >= 54
+
+
+@pytest.mark.parametrize("times", [1, 40])
+def test_configurations_place_most_pieces(times):
+    lengths = np.minimum(4096, np.random.default_rng(3).lognormal(6.2, 1.0, 4000).astype(int) + 2)
+    histogram = {int(x): int(n) * times for x, n in zip(*np.unique(lengths, return_counts=True))}
+    used, left, bound = packing.configured(histogram, 4096)
+    total = sum(histogram.values())
+    placed = sum(k * n for content, n in used.items() for _, k in content)
+    assert placed + sum(left.values()) == total and placed >= 0.85 * total
+    assert sum(n for content, n in used.items() if len(content) > 1) > 0.8 * sum(used.values())
+    n = sum(c for _, c in packing.best_fit(left, list(used.items()), 4096))
+    assert math.ceil(bound - 1e-6) <= n <= bound * 1.002 + 2
+
+
+def test_fillings_are_the_best_with_bounded_copies():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        lengths = np.sort(rng.permutation(np.arange(1, 15))[:4])
+        most, prices, order = rng.integers(1, 4, 4), rng.random(4), rng.permutation(4)
+        rooms = np.arange(21)
+        best, fillings = packing.best_fillings(lengths, most, prices, 20, order, rooms)
+        for room, filling in zip(rooms, fillings):
+            plain = max(sum(k * p for k, p in zip(ks, prices)) for ks in itertools.product(*(range(m + 1) for m in most)) if sum(k * x for k, x in zip(ks, lengths)) <= room)
+            assert abs(sum(k * prices[i] for i, k in filling.items()) - plain) < 1e-9
+            assert all(k <= most[i] for i, k in filling.items()) and sum(k * int(lengths[i]) for i, k in filling.items()) <= room
+        assert abs(best - plain) < 1e-9
 
 
 def check_packing(rows, capacity):
