@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldtally.llm import embeddings, minhash
 from fieldtally.llm.components import components
@@ -130,8 +131,8 @@ def vectors(seed=4, dims=64):
     return rows
 
 
-@pytest.mark.parametrize("tile", [4096, 20])
-def test_vectors(spark, tile):
+@pytest.mark.parametrize("chunk", [4096, 20])
+def test_vectors(spark, chunk):
     rows = vectors()
     good = [(i, np.array(x, float), label) for i, x, label in rows if x and label is not None and None not in x and np.isfinite(x).all() and any(x)]
     links = [(i, j) for n, (i, x, k) in enumerate(good) for j, y, m in good[n + 1 :] if k == m and len(x) == len(y) and x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.93]
@@ -139,7 +140,7 @@ def test_vectors(spark, tile):
     want = roots([r[0] for r in rows], links)
     degree = {r[0]: sum(r[0] in e for e in links) for r in rows}
     df = spark.createDataFrame([(i, x, k, "x") for i, x, k in rows], "vec_id long, embedding array<double>, label int, kept string").repartition(3)
-    got = embeddings.near_duplicate_vectors(df, embeddings.Settings(tile=tile)).collect()
+    got = embeddings.near_duplicate_vectors(df, embeddings.Settings(chunk=chunk)).collect()
     assert len(got) == len(rows)
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {k: (degree[k], want[k], want[k] == k) for k in want}
 
@@ -152,12 +153,66 @@ def test_vector_edges(spark):
     assert embeddings.near_duplicate_vectors(df.limit(0)).count() == 0
 
 
+def test_odd_components(spark):
+    big, tiny = [1e300, 1e300, 0.0], [1e-300, 1e-300, 0.0]
+    df = spark.createDataFrame([(1, big, 1), (2, tiny, 1), (3, [-0.0, 0.0, 1.0], 1), (4, [0.0, 0.0, 2.0], 1), (5, [float("inf"), 1.0, 1.0], 1)], "vec_id long, embedding array<double>, label int")
+    got = embeddings.near_duplicate_vectors(df.select("vec_id", F.col("embedding"), "label")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
+
+
 def test_every_linked_pair_is_near_in_a_block():
     rng = np.random.default_rng(3)
     s = embeddings.Settings()
+    at, share = embeddings.edges(64, s), embeddings.shares(64, s)
+    assert abs(share.sum() - (2 - 2 * s.least)) < 1e-6 and at.tolist() == [0, 16, 32, 48, 64]
     for _ in range(100):
         x = rng.normal(size=64)
-        y = x + rng.normal(size=64) * 0.35
-        if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= s.least:
-            at = [{(b % (1 << 20), slab) for b, slab in embeddings._slots(v, s)} for v in (x, y)]
-            assert at[0] & at[1]
+        pair = np.stack([x, x + rng.normal(size=64) * 0.35])
+        cosine = pair[0] @ pair[1] / np.prod(np.linalg.norm(pair, axis=1))
+        y = embeddings.rotated(pair, {}, s)
+        if cosine >= s.least:
+            assert (np.add.reduceat((y[0] - y[1]) ** 2, at[:-1]) <= share).any()
+        assert abs(y[0] @ y[1] - cosine) < 1e-9
+
+
+def compared(x, s, first=None):
+    y = embeddings.rotated(x, {}, s)
+    code = embeddings.order_code(y, embeddings.fit_centres(y[::3], s))
+    order = np.argsort(code, kind="stable")
+    x, y, pairs, links = x[order], y[order], 0, set()
+    for u, v, n in embeddings.linked_pairs(x, y, first or len(x), code[order] >> 16, s, step=64):
+        pairs += n
+        links |= set(zip(order[u].tolist(), order[v].tolist()))
+    return pairs, {(min(e), max(e)) for e in links}
+
+
+def test_pairs_meet_once_and_far_runs_never():
+    rng, s = np.random.default_rng(6), embeddings.Settings()
+    even = rng.normal(size=(1500, 64))
+    pairs, _ = compared(even, s)
+    assert pairs <= 1500 * 1499 / 2  # nothing to prune, and no pair twice
+    centres = rng.normal(size=(40, 64))
+    grouped = np.repeat(centres, 75, axis=0) + rng.normal(size=(3000, 64)) * 0.12
+    pairs, links = compared(grouped, s)
+    assert pairs < 0.25 * 3000 * 2999 / 2
+    unit = grouped / np.linalg.norm(grouped, axis=1, keepdims=True)
+    a, b = np.nonzero(np.triu(unit @ unit.T >= 0.93, 1))
+    assert links == set(zip(a.tolist(), b.tolist())) and len(links) > 10000
+    _, two = compared(grouped, s, first=1000)
+    assert two < links  # rows of two chunks only
+
+
+@pytest.mark.parametrize("folder, most", [("/root/testdata/sf0.1", 1.0)])
+def test_the_given_vectors_meet_at_most_once(spark, folder, most):
+    s = embeddings.Settings(chunk=64)
+    reps = spark.read.parquet(f"{folder}/embeddings.parquet").select(F.col("vec_id").alias("rep"), F.col("label").cast("string").alias("label"), "embedding")
+    raw = {r.rep: (r.label, np.array(r.embedding, np.float64)) for r in reps.collect()}
+    table = spark.createDataFrame([(label, x.nbytes, k, 1, x.tobytes()) for k, (label, x) in raw.items()], "label string, size int, rep long, times long, raw binary")
+    chunks = embeddings._chunked(table, spark.sparkContext.broadcast(embeddings.fit(table, s)), s).cache()
+    sizes = {r.chunk: (r.n, r.label) for r in chunks.where("place = 0").collect()}
+    assert sum(n for n, _ in sizes.values()) == len(raw) and max(n for n, _ in sizes.values()) <= 64
+    met = embeddings.chunk_pairs(chunks, s).collect()
+    assert len(set(met)) == len(met) and all(sizes[r.a][1] == sizes[r.b][1] for r in met)
+    pairs = sum(sizes[r.a][0] * sizes[r.b][0] if r.a != r.b else sizes[r.a][0] * (sizes[r.a][0] - 1) // 2 for r in met)
+    labels = [label for label, _ in raw.values()]
+    assert pairs <= most * sum(n * (n - 1) // 2 for n in map(labels.count, set(labels)))
