@@ -146,8 +146,9 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Per document of the images that ``write_token_files`` wrote: ``id_col``,
     ``start`` (ids of all documents before it), ``n_tokens`` and ``ids_crc32``.
 
-    The writer has summed ids within its part; here only parts are summed, and
-    one row for each part is sent to the tasks.  Images don't move.
+    The writer has summed ids within its part; here only parts are summed.  The
+    join with their sums, one row for each part, is left to the engine, which
+    sends them to the tasks where they are small.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = files.select("part", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
@@ -163,23 +164,30 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(reader.slice(int(e - n), int(e)).tobytes()) for e, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
-    placed = files.join(F.broadcast(parts), "part").select((F.col("first") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "image")
+    placed = files.join(parts, "part").select((F.col("first") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "image")
     return placed.mapInArrow(read, f"id {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 
 
-def token_at(files: DataFrame, wanted: DataFrame) -> DataFrame:
+def token_at(files: DataFrame, wanted: DataFrame, span: int = 1 << 16) -> DataFrame:
     """The token at each ``position`` of ``wanted`` (part, shard, position): the
-    image's ranks lead to it, nothing is decoded around it.  A position that an
-    image doesn't have gives null."""
+    image's ranks lead to it, nothing is decoded around it.
+
+    Positions of an image are looked up together, at most ``span`` different ones
+    with each copy of it.  A part or shard that doesn't exist, a position that
+    its image doesn't have, and a null in any of the three give a null token;
+    repeated rows give repeated results.
+    """
+    keys = ["part", "shard", "position"]
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            readers: dict = {}
-            found = []
-            for part, shard, position, image in zip(*(c.to_pylist() for c in batch.columns)):
-                reader = readers.setdefault((part, shard), None) or readers.__setitem__((part, shard), Reader(image)) or readers[part, shard]
-                found.append(reader[position] if position is not None and 0 <= position < reader.n else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.int64())], ["part", "shard", "position", "token"])
-
-    joined = wanted.select("part", "shard", F.col("position").cast("long")).join(files.select("part", "shard", "image"), ["part", "shard"])
-    return joined.mapInArrow(look, "part int, shard int, position long, token long")
+            for k in range(batch.num_rows):
+                reader = Reader(batch.column(3)[k].as_buffer().to_pybytes())
+                positions = [i for i in batch.column(2)[k].as_py() if 0 <= i < reader.n]
+                n = len(positions)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(c)[k].as_py()] * n, pa.int32()) for c in (0, 1)] + [pa.array(positions, pa.int64()), pa.array([reader[i] for i in positions], pa.int64())], [*keys, "token"])
+
+    asked = wanted.select(F.col("part").cast("int"), F.col("shard").cast("int"), F.col("position").cast("long"))
+    together = asked.dropna().distinct().groupBy("part", "shard", F.floor(F.col("position") / span).alias("span")).agg(F.collect_set("position").alias("positions"))
+    found = together.join(files.select("part", "shard", "image"), ["part", "shard"]).select("part", "shard", "positions", "image").mapInArrow(look, "part int, shard int, position long, token long")
+    return asked.join(found, keys, "left").select(*keys, "token")

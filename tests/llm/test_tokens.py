@@ -1,8 +1,8 @@
 """Token counts, BPE, token files and packing against the tokenizers library."""
 
 import hashlib
-import json
 import itertools
+import json
 import math
 import random
 import zlib
@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from tokenizers import Tokenizer
 
 from fieldtally.llm import bpe, dac, packing, pieces, token_counts
@@ -131,8 +132,11 @@ def test_token_files(spark, docs, shard):
         at += len(ids)
     if shard > 50:
         first = files.orderBy("part", "shard").first()
-        wanted = spark.createDataFrame([(first.part, first.shard, 0), (first.part, first.shard, 10**9)], "part int, shard int, position long")
-        assert {r.position: r.token for r in dac.token_at(files, wanted).collect()} == {0: lib(WORD_LIB, "no id")[0], 10**9: None}
+        asked = [(first.part, first.shard, 0), (first.part, first.shard, 0), (first.part, first.shard, 10**9), (first.part, first.shard, -1), (first.part, 99, 0), (999, first.shard, 0), (None, 0, 0), (first.part, first.shard, None)]
+        wanted = spark.createDataFrame(asked, "part int, shard int, position long")
+        found = dac.token_at(files, wanted).collect()
+        token = lib(WORD_LIB, "no id")[0]
+        assert sorted(map(str, found)) == sorted(str(Row(part=p, shard=k, position=i, token=token if (p, k, i) == asked[0] else None)) for p, k, i in asked)
 
 
 def test_no_documents_no_files(spark, docs):
