@@ -20,7 +20,11 @@ _HEADER = re.compile(rb"(?:\s|#[^\n]*\n)*([0-9]+)")
 
 
 def decode_netpbm(data: bytes) -> np.ndarray:
-    """P1 to P6 as (height, width) or (height, width, 3) of uint8 or uint16."""
+    """P1 to P6 as (height, width) or (height, width, 3) of uint8 or uint16.
+
+    Samples that are no numbers or beyond the stated largest one, and images that
+    are empty or cut short, raise ValueError.
+    """
     kind = data[:2]
     if kind not in (b"P1", b"P2", b"P3", b"P4", b"P5", b"P6"):
         raise ValueError("not a Netpbm image")
@@ -37,17 +41,29 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         raise ValueError("the largest sample is out of range")
     depth = 3 if kind in (b"P3", b"P6") else 1
     count = width * height * depth
+    if not count:
+        raise ValueError("a Netpbm image has no samples")
+    if count > len(data) * (8 if kind == b"P4" else 1):
+        raise ValueError("a Netpbm image is cut short")
     if kind == b"P4":
         rows = np.frombuffer(data, np.uint8, height * (-(-width // 8)), at + 1).reshape(height, -1)
         samples = 1 - np.unpackbits(rows, axis=1)[:, :width]
     elif kind == b"P1":
-        samples = 1 - np.frombuffer(re.sub(rb"#[^\n]*|\s", b"", data[at:])[:count], np.uint8) % 2
+        digits = np.frombuffer(re.sub(rb"#[^\n]*|\s", b"", data[at:])[:count], np.uint8)
+        if not np.isin(digits, (48, 49)).all():
+            raise ValueError("a bit is neither 0 nor 1")
+        samples = 49 - digits
     elif kind in (b"P2", b"P3"):
-        samples = np.array(re.sub(rb"#[^\n]*", b"", data[at:]).split()[:count], np.int64)
+        texts = re.sub(rb"#[^\n]*", b"", data[at:]).split()[:count]
+        if not all(t.isdigit() and len(t.lstrip(b"0")) <= 5 for t in texts):
+            raise ValueError("a sample is not a number in range")
+        samples = np.array(list(map(int, texts)), np.int64)
     else:
         samples = np.frombuffer(data, np.uint8 if most < 256 else ">u2", count, at + 1)
     if samples.size != count:
         raise ValueError("a Netpbm image is cut short")
+    if samples.max() > most:
+        raise ValueError("a sample is beyond the largest one")
     shape = (height, width, 3) if depth == 3 else (height, width)
     return samples.reshape(shape).astype(np.uint8 if most < 256 else np.uint16, copy=False)
 
@@ -56,16 +72,29 @@ def encode_pgm(samples: np.ndarray) -> bytes:
     return b"P5\n%d %d\n255\n" % (samples.shape[1], samples.shape[0]) + samples.tobytes()
 
 
+def _masked(pixels: np.ndarray, mask: int) -> np.ndarray:
+    """The part of each pixel under a mask of bits, from 0 to 255."""
+    if not mask:
+        raise ValueError("a colour has no bits")
+    low = (mask & -mask).bit_length() - 1
+    return (((pixels & np.uint64(mask)) >> np.uint64(low)) * np.uint64(255) // np.uint64(mask >> low)).astype(np.uint8)
+
+
 def decode_bmp(data: bytes) -> np.ndarray:
-    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits as (height, width, 3) of uint8."""
+    """Uncompressed BMP of 1, 4, 8, 24 or 32 bits, the last also with masks for
+    red, green and blue, as (height, width, 3) of uint8."""
     if data[:2] != b"BM":
         raise ValueError("not a BMP image")
     first, header, width, height, _, bits, packed = struct.unpack_from("<IIiiHHI", data, 10)
-    if packed not in (0, 3) or bits not in (1, 4, 8, 24, 32):
+    if (packed, bits) not in ((0, 1), (0, 4), (0, 8), (0, 24), (0, 32), (3, 32)) or width <= 0 or not height:
         raise ValueError("this kind of BMP isn't supported")
     stride = (width * bits + 31) // 32 * 4
     rows = np.frombuffer(data, np.uint8, stride * abs(height), first).reshape(abs(height), stride)
     rows = rows[::-1] if height > 0 else rows
+    if packed == 3:
+        masks = struct.unpack_from("<III", data, 54)
+        pixels = np.ascontiguousarray(rows[:, : width * 4]).view("<u4").astype(np.uint64)
+        return np.stack([_masked(pixels, m) for m in masks], axis=2)
     if bits >= 24:
         return np.ascontiguousarray(rows[:, : width * bits // 8].reshape(abs(height), width, bits // 8)[:, :, 2::-1])
     used = struct.unpack_from("<I", data, 46)[0] or 1 << bits
@@ -143,7 +172,7 @@ def media_tiles(media: DataFrame, id_col: str, media_col: str, lines: int = 4096
                         raise ValueError("no image")
                     image = decode(data)
                     out.append((image.shape[0], image.shape[1], difference_hash(image), to_tiles(image, lines), None))
-                except (ValueError, struct.error, IndexError) as e:
+                except (ValueError, OverflowError, struct.error, IndexError) as e:
                     out.append((None, None, None, None, str(e)[:200]))
             h, w, d, t, e = zip(*out)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h, pa.int64()), pa.array(w, pa.int64()), pa.array(d, pa.string()), pa.array(t, pa.list_(pa.binary())), pa.array(e, pa.string())], ["id", "height", "width", "dhash", "tiles", "error"])

@@ -22,19 +22,26 @@ def test_netpbm_kinds():
     assert media.decode_netpbm(b"P5 2 1 255\n" + bytes([1, 2])).tolist() == [[1, 2]]
     assert media.decode_netpbm(b"P5 1 1 65535\n" + bytes([1, 2])).tolist() == [[258]]
     assert media.decode_netpbm(b"P6 1 1 255\n" + bytes([1, 2, 3])).tolist() == [[[1, 2, 3]]]
-    for bad in (b"P7 1 1 255\n", b"P5 2 2 255\n\1", b"P5 2", b"P5 1 1 70000\n\1\1", b""):
+    giant = b"9" * 25
+    out_of_range = [b"P2 1 1 255 300", b"P2 1 1 255 -5", b"P2 1 1 255 " + giant, b"P2 1 1 255 x", b"P5 1 1 100\n\xff", b"P1 1 1 2", b"P5 %s 1 255\n\1" % giant, b"P5 0 %s 255\n" % giant, b"P4 %s 1\n\1" % giant]
+    for bad in (*out_of_range, b"P7 1 1 255\n", b"P5 2 2 255\n\1", b"P5 2", b"P5 1 1 70000\n\1\1", b""):
         with pytest.raises(ValueError):
             media.decode_netpbm(bad)
 
 
-def bmp(bits, rows, palette=b"", height=1):
+def bmp(bits, rows, palette=b"", height=1, packed=0):
     first = 54 + len(palette)
-    return b"BM" + struct.pack("<IHHI", 0, 0, 0, first) + struct.pack("<IiiHHIIiiII", 40, 2, height, 1, bits, 0, 0, 0, 0, len(palette) // 4, 0) + palette + rows
+    return b"BM" + struct.pack("<IHHI", 0, 0, 0, first) + struct.pack("<IiiHHIIiiII", 40, 2, height, 1, bits, packed, 0, 0, 0, len(palette) // 4, 0) + palette + rows
 
 
 def test_bmp_kinds():
     assert media.decode(bmp(24, bytes([3, 2, 1, 6, 5, 4, 0, 0]))).tolist() == [[[1, 2, 3], [4, 5, 6]]]
     assert media.decode(bmp(32, bytes([3, 2, 1, 0, 6, 5, 4, 0]))).tolist() == [[[1, 2, 3], [4, 5, 6]]]
+    masks = struct.pack("<III", 0xFF, 0xFF00, 0x3FF00000)  # red first, blue of 10 bits
+    assert media.decode(bmp(32, struct.pack("<II", 1 | 2 << 8 | 1023 << 20, 7), masks, packed=3)).tolist() == [[[1, 2, 255], [7, 0, 0]]]
+    for bad in (bmp(32, bytes(8), struct.pack("<III", 0, 1, 2), packed=3), bmp(24, bytes(8), packed=3), bmp(8, b""), b"BM"):
+        with pytest.raises((ValueError, struct.error)):
+            media.decode(bad)
     two = bytes([0, 0, 0, 0, 9, 8, 7, 0])
     assert media.decode(bmp(8, bytes([1, 0, 0, 0]), two)).tolist() == [[[7, 8, 9], [0, 0, 0]]]
     assert media.decode(bmp(1, bytes([0b01000000, 0, 0, 0]), two)).tolist() == [[[0, 0, 0], [7, 8, 9]]]
@@ -55,9 +62,9 @@ def test_resize_is_the_mean_of_areas(shape):
 
 def test_media_rows_with_errors(spark):
     pgm = media.encode_pgm(np.arange(128, dtype=np.uint8).reshape(2, 64))
-    df = spark.createDataFrame([(1, pgm, "x"), (2, None, "x"), (3, b"nothing", "x"), (None, pgm, "x"), (1, pgm, "x")], "k long, media binary, dhash string")
+    df = spark.createDataFrame([(1, pgm, "x"), (2, None, "x"), (3, b"nothing", "x"), (None, pgm, "x"), (1, pgm, "x"), (4, b"P2 1 1 255 99999999999999999999", "x"), (5, b"P5 99999999999999999999 1 255\n\1", "x")], "k long, media binary, dhash string")
     rows = media.media_tiles(df, "k", "media").collect()
-    assert len(rows) == 5 and sum(r.error is None for r in rows) == 3
+    assert len(rows) == 7 and sum(r.error is None for r in rows) == 3
     assert media.media_tiles(df.limit(0), "k", "media").count() == 0
 
 
@@ -70,6 +77,16 @@ def test_texts_come_back(spark):
         payload = raw + bytes(-len(raw) % 64 if raw else 64)
         r = rows[k]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        image = np.frombuffer(payload, np.uint8).reshape(-1, 64)
+        tiles = []
+        for i in range(0, len(image), 4096):
+            np.save(f := io.BytesIO(), image[i : i + 4096])
+            tiles.append(f.getvalue())
+        fine = np.kron(image, np.ones((8, 9))).reshape(8, len(image), 9, 64).mean((1, 3)) if len(image) < 200 else None
+        assert (r.media_bytes, r.media_sha256) == (sum(map(len, tiles)), hashlib.sha256(b"".join(tiles)).hexdigest())
+        assert r.feature.endswith(f":64x{len(image)}")
+        if fine is not None and np.abs(np.diff(fine, axis=1)).min() > 1e-9:
+            assert r.feature.split(":")[0] == np.packbits(fine[:, :-1] > fine[:, 1:]).tobytes().hex()
     assert rows[5][1:] == rows[6][1:] and rows[4].media_bytes > 300_000
     assert media.text_media(df.limit(0)).count() == 0
 
