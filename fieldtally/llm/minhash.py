@@ -38,7 +38,7 @@ class Settings:
     words: int = 5
     num: int = 75
     den: int = 100
-    broadcast_ids: int = 4_000_000
+    broadcast_ids: int = 500_000
     tile: int = 2048
     set_tile: int = 512
     seed: int = 5
@@ -261,19 +261,24 @@ def _near_components(key: int, comp: np.ndarray, chunk: np.ndarray, sig: np.ndar
     however many rows it has."""
     order = np.argsort(comp, kind="stable")
     comp, chunk, sig = comp[order], chunk[order], sig[order]
-    end, found, own = np.searchsorted(comp, comp, side="right"), [], key >> 16 * (CHUNK - 1)
-    for i in range(int(np.searchsorted(comp, comp[-1]))):
-        differ = sig[end[i] :] != sig[i]
-        near = differ.sum(1) <= MOST_ERRORS
+    end, found, own = np.searchsorted(comp, comp, side="right"), [np.zeros((0, 2), np.int64)], key >> 16 * (CHUNK - 1)
+    rows = np.arange(int(np.searchsorted(comp, comp[-1])))
+    # as many rows at once as make about 2**14 pairs: usual tiles go in one step
+    for part in np.array_split(rows, max(1, -(-len(rows) * len(comp) >> 14))) if len(rows) else []:
+        n = len(comp) - end[part]
+        a = np.repeat(part, n)
+        b = np.repeat(end[part] - np.cumsum(n) + n, n) + np.arange(len(a))
         if two_chunks:
-            near &= chunk[end[i] :] != chunk[i]
-        hit = np.flatnonzero(near)
-        hit = hit[_first_key(differ[hit]) == own]
-        found.append(np.stack([np.full(len(hit), comp[i]), comp[end[i] + hit]], 1))
-    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            other = chunk[a] != chunk[b]
+            a, b = a[other], b[other]
+        differ = sig[a] != sig[b]
+        near = np.flatnonzero(differ.sum(1) <= MOST_ERRORS)
+        near = near[_first_key(differ[near]) == own]
+        found.append(np.stack([comp[a[near]], comp[b[near]]], 1))
+    return np.unique(np.concatenate(found), axis=0)
 
 
-def _across(rows: DataFrame, s: Settings) -> DataFrame:
+def _across(rows: DataFrame, s: Settings, scratch: Scratch) -> DataFrame:
     """Pairs of components, ``low`` < ``high``, of which some members' signatures
     are near.
 
@@ -281,8 +286,8 @@ def _across(rows: DataFrame, s: Settings) -> DataFrame:
     meet in a tile; tiles come sorted, so a task goes through them one after
     another.  A pair of members counts in one of the buckets that it shares.
     """
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > s.tile)
-    dealt = rows.join(sizes, "key", "left").withColumn("chunks", F.coalesce(F.ceil(F.col("n") / s.tile), F.lit(1)).cast("int"))
+    sizes = scratch.hold(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > s.tile), "sizes")
+    dealt = rows.join(_fit(sizes, s), "key", "left").withColumn("chunks", F.coalesce(F.ceil(F.col("n") / s.tile), F.lit(1)).cast("int"))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     tile = ["key", "low", "high"]
     tiles = dealt.select("key", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "component", "sig")
@@ -335,12 +340,15 @@ def _confirmed_components(pairs: DataFrame, members: DataFrame, reps: DataFrame,
     sized = pairs.join(n.withColumnsRenamed({"component": "low", "n": "n_low"}), "low").join(n.withColumnsRenamed({"component": "high", "n": "n_high"}), "high")
     turned = F.col("n_high") > F.col("n_low")
     turn = scratch.hold(sized.select(F.when(turned, F.col("high")).otherwise(F.col("low")).alias("big"), F.when(turned, F.col("low")).otherwise(F.col("high")).alias("small")), "turned")
-    still = turn.select("big").distinct().join(members.withColumnRenamed("component", "big"), "big").select("big", "rep", F.lit(0).alias("role"))
-    come = turn.join(members.withColumnRenamed("component", "small"), "small").select("big", "rep", F.lit(1).alias("role"))
+    bigs = scratch.hold(turn.select("big").distinct(), "bigs")
+    # the components' ids go to the members, where few enough; so a large component stays spread
+    still = members.withColumnRenamed("component", "big").join(_fit(bigs, s), "big").select("big", "rep", F.lit(0).alias("role"))
+    come = members.withColumnRenamed("component", "small").join(_fit(turn, s), "small").select("big", "rep", F.lit(1).alias("role"))
     roles = scratch.hold(still.union(come), "roles")
     sets = _sets(roles.select("rep"), reps, docs, s, scratch)
-    chunks = roles.groupBy("big").agg(*(F.ceil(F.sum(F.when(F.col("role") == r, 1).otherwise(0)) / s.set_tile).cast("int").alias(f"chunks{r}") for r in (0, 1)))
-    dealt = roles.join(chunks, "big")
+    counted = roles.groupBy("big").agg(*(F.ceil(F.sum(F.when(F.col("role") == r, 1).otherwise(0)) / s.set_tile).cast("int").alias(f"chunks{r}") for r in (0, 1)))
+    chunks = scratch.hold(counted.where("chunks0 > 1 or chunks1 > 1"), "chunks")
+    dealt = roles.join(_fit(chunks, s), "big", "left").fillna(1, ["chunks0", "chunks1"])
     own = F.pmod(F.xxhash64("rep"), F.when(F.col("role") == 0, F.col("chunks0")).otherwise(F.col("chunks1"))).cast("int")
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("role") == 0, F.col("chunks1")).otherwise(F.col("chunks0")) - 1)))
     tile = ["big", "chunk0", "chunk1"]
@@ -378,7 +386,7 @@ def _linked(docs: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame, DataFra
     mixed = placed.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
     rest = placed.join(mixed, "key", "left_semi").join(reps.select("rep", "sig"), "rep").select("key", "rep", "component", "sig")
     members = scratch.hold(reps.select("rep").join(so_far.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("component")), "members")
-    second = _confirmed_components(scratch.hold(_across(rest, s), "pairs"), members, reps, docs, s, scratch)
+    second = _confirmed_components(scratch.hold(_across(rest, s, scratch), "pairs"), members, reps, docs, s, scratch)
     links = Table(first.union(second), "links").read()
     scratch.drop()  # what follows reads signatures, sets, representatives and links only
     return described, sets.drop("sig"), reps.drop("sig"), links
