@@ -31,30 +31,40 @@ def main(arguments: list[str] | None = None) -> int:
     p.add_argument("folder")
     p.add_argument("out")
     p.add_argument("--previous")
+    p.add_argument("--force", action="store_true", help="take the newest batch again")
+    p = commands.add_parser("sync-sqllab", help="fresh counts of some kabs from a table of assignments; other kabs stay")
+    p.add_argument("assignments", help="folder of the assignment table")
+    p.add_argument("out")
+    p.add_argument("--kab", default="", help="codes, separated by commas; all without")
     p = commands.add_parser("respondents", help="flatten landed respondent files")
     p.add_argument("files")
     p.add_argument("out")
     p = commands.add_parser("regions", help="expand landed region levels")
     p.add_argument("folder")
     p.add_argument("out")
+    p.add_argument("--resume", help="resume list; regions in it are left out")
     a = parser.parse_args(arguments)
     spark = SparkSession.builder.appName("fieldtally").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     version = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H-%M-%S")
     previous = spark.read.parquet(a.previous) if getattr(a, "previous", None) else None
     if a.command == "query":
         readers.register(spark, a.tables, [t for t in a.names.split(",") if t])
-        print("[" + ",\n".join(writers.json_rows(readers.run_sql(spark, a.sql, a.limit), a.limit)) + "]")
+        rows = writers.json_rows(readers.run_sql(spark, a.sql, a.limit + 1), a.limit + 1)
+        print("[" + ",\n".join(rows[: a.limit]) + "]")
+        if len(rows) > a.limit:
+            print(f"only the first {a.limit} rows are shown; see --limit", file=sys.stderr)
     elif a.command == "snapshot":
         kab = (code_list(a.kab) or [None])[0]
         docs = readers.progress_pages(spark, a.pages, kab, a.name or None).drop("source_file")
         jobs.sync_snapshot(docs, previous, a.out, version)
     elif a.command == "workbooks":
-        none = spark.createDataFrame([], "last_processed timestamp")
-        jobs.sync_workbooks(spark, a.folder, none, previous, a.out, version)
+        jobs.sync_new_workbooks(spark, a.folder, previous, a.out, version, force=a.force)
+    elif a.command == "sync-sqllab":
+        jobs.sync_assignments(spark.read.parquet(a.assignments), code_list(a.kab), a.out)
     elif a.command == "respondents":
         writers.write_grid(jobs.respondent_report(readers.respondents(spark, a.files)), a.out)
     else:
-        jobs.region_dimension(spark, a.folder).write.mode("overwrite").parquet(a.out)
+        jobs.remaining_regions(spark, jobs.region_dimension(spark, a.folder), a.resume).write.mode("overwrite").parquet(a.out)
     return 0
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -33,8 +34,9 @@ class ConstantRule:
     tolerance: float = 0.01
 
 
+# Column names of the questionnaire, in its order.
 _COSTS = ("gaji", "biaya_produksi", "biaya_pembelian", "operasional", "non_operasional")
-_OWNERS = ("pribadi", "non_profit", "non_publik", "publik", "pemerintah", "asing")
+_OWNERS = ("pribadi", "non_profit", "publik", "non_publik", "pemerintah", "asing")
 _FOUNDERS = ("pribadi_didirikan", "nonprofit_didirikan", "publik_didirikan", "nonpublik_didirikan", "pemerintah_didirikan", "asing_didirikan")
 
 # The sums that the questionnaire's labels state.
@@ -65,12 +67,25 @@ def _verdict(rule: SumRule | ConstantRule) -> Column:
     return F.when(given, F.abs(total - rule.value) <= rule.tolerance)
 
 
+def missing_columns(df: DataFrame, rules: Sequence[SumRule | ConstantRule]) -> dict[str, list[str]]:
+    """The rules that a table can't be checked by, with the columns it lacks."""
+    have = {c.lower() for c in df.columns}
+    lacking = {r.name: [c for c in (*r.parts, *([r.total] if isinstance(r, SumRule) else [])) if c.lower() not in have] for r in rules}
+    return {name: columns for name, columns in lacking.items() if columns}
+
+
 def check(df: DataFrame, table: str, keys: Sequence[str], rules: Sequence[SumRule | ConstantRule]) -> DataFrame:
     """``table_name``, keys, ``rule`` and ``ok`` (null: not applicable), one row for
-    each row and rule; rules whose columns are missing are left out."""
-    have = {c.lower() for c in df.columns}
-    fit = [r for r in rules if {c.lower() for c in (*r.parts, *([r.total] if isinstance(r, SumRule) else []))} <= have]
-    results = F.explode(F.array(*(F.struct(F.lit(r.name).alias("rule"), _verdict(r).alias("ok")) for r in fit))).alias("r")
+    each row and rule.
+
+    Rules whose columns are missing are left out with a warning that names them
+    (``missing_columns``); without any rule the result is empty.
+    """
+    lacking = missing_columns(df, rules)
+    if lacking:
+        warnings.warn(f"{table}: not checked for want of columns: {lacking}", stacklevel=2)
+    verdicts = [F.struct(F.lit(r.name).alias("rule"), _verdict(r).alias("ok")) for r in rules if r.name not in lacking]
+    results = F.explode(F.array(*verdicts).cast("array<struct<rule:string,ok:boolean>>")).alias("r")
     return df.select(F.lit(table).alias("table_name"), *keys, results).select("table_name", *keys, "r.rule", "r.ok")
 
 

@@ -53,13 +53,14 @@ def merge_parts(parts: DataFrame, officer: Sequence[str], attributes: Sequence[s
 
 
 def latest_batch(df: DataFrame, at: str, hours: float = 2) -> DataFrame:
-    """Rows at most ``hours`` from the newest one, both ends included.
+    """Rows at most ``hours`` before the newest one, both ends included.
 
-    The newest time is a scalar subquery, so the filter reaches the scan.
+    The earliest time that counts is a scalar subquery, and a time column is
+    compared as it is, so the filter reaches the scan; texts are cast.
     """
-    newest = df.agg(F.max(F.col(at).cast("timestamp")).alias("m")).scalar()
-    gap = F.abs(F.unix_micros(newest) - F.unix_micros(F.col(at).cast("timestamp")))
-    return df.where(gap <= int(hours * 3_600_000_000))
+    time = F.col(at) if df.schema[at].dataType.typeName().startswith("timestamp") else F.col(at).cast("timestamp")
+    earliest = df.agg((F.max(time) - F.make_dt_interval(secs=F.lit(hours * 3600).cast("decimal(18,6)"))).alias("m")).scalar()
+    return df.where(time >= earliest)
 
 
 def newest(df: DataFrame, order: Sequence[Column], keep: int) -> DataFrame:
@@ -86,6 +87,13 @@ def selected_kabs(df: DataFrame, code: str, kabs: Sequence[str]) -> DataFrame:
     return df.where(kab.isin(*kabs) if kabs else F.col(code).isNotNull())
 
 
+def targets(df: DataFrame, flag: str = "is_target", error_status: str | None = None) -> DataFrame:
+    """Target rows only (flag 1 or true); with an ``error_status`` column, only
+    those without an error (null or below 0)."""
+    rows = df.where(F.lower(F.col(flag).cast("string")).isin("1", "true"))
+    return rows if error_status is None else rows.where(F.coalesce(F.col(error_status).try_cast("int"), F.lit(-1)) < 0)
+
+
 def not_done(work: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Work whose key has not been finished."""
     return work.join(done.select(key).distinct(), key, "left_anti")

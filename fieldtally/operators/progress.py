@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import or_default
@@ -47,30 +47,41 @@ def found_statuses(docs: DataFrame) -> list[str]:
     return columns(r.status for r in seen.collect())
 
 
-def _last(breakdown: Column, status: str) -> Column:
-    own = F.filter(breakdown, lambda x: x["status"] == status)
-    return F.coalesce(F.try_element_at(own, F.lit(-1))["count"], F.lit(0).cast("long")).alias(status)
+def status_values(rows: DataFrame, column: str) -> list[str]:
+    """The same from flat rows, before they are nested."""
+    return columns(r[0] for r in rows.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct().collect())
 
 
 def wide(docs: DataFrame, statuses: Sequence[str]) -> DataFrame:
     """One row for each region of a document; of repeated statuses the last counts.
 
     Documents without regions have no row.  All is computed within the row, so
-    nothing is shuffled.
+    nothing is shuffled: names and counts are taken apart once, the last first,
+    and each status is looked up by its place.
     """
     r = docs.select("*", F.explode("regionSummary").alias("_r"))
-    return r.select(or_default(F.col("_kabKotaName"), "-").alias("kab_name"), F.col("_r.regionCode").alias("region_code"), "username", "email", F.col("roleName").alias("role"), F.col("_r.total").alias("total"), *(_last(F.col("_r.statusBreakdown"), s) for s in statuses))
+    r = r.select("*", F.reverse("_r.statusBreakdown.status").alias("_names"), F.reverse("_r.statusBreakdown.count").alias("_counts"))
+    count = lambda s: F.coalesce(F.get("_counts", (F.array_position("_names", s) - 1).cast("int")), F.lit(0).cast("long")).alias(s)
+    return r.select(or_default(F.col("_kabKotaName"), "-").alias("kab_name"), F.col("_r.regionCode").alias("region_code"), "username", "email", F.col("roleName").alias("role"), F.col("_r.total").alias("total"), *map(count, statuses))
 
 
 def officer_summary(docs: DataFrame, statuses: Sequence[str]) -> DataFrame:
-    """One row for each document, with or without regions; repeated statuses add up."""
+    """One row for each document, with or without regions; repeated statuses add up.
+
+    Within the row, entries become one sum for each status in a single pass over
+    them; nothing is shuffled.
+    """
     regions = F.coalesce(F.col("regionSummary"), F.array().cast(docs.schema["regionSummary"].dataType))
     flat = F.flatten(F.transform(regions, lambda r: F.coalesce(r["statusBreakdown"], F.array().cast("array<struct<status:string,count:bigint>>"))))
-
-    def total(s: str) -> Column:
-        return F.aggregate(F.filter(flat, lambda x: x["status"] == s), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x["count"], F.lit(0))).alias(s)
-
-    return docs.select(or_default(F.col("_kabKotaName"), "-").alias("kab_name"), "username", "email", F.col("roleName").alias("role"), F.size(regions).cast("long").alias("n_regions"), "total", *map(total, statuses))
+    place = F.create_map(*(c for i, s in enumerate(statuses) for c in (F.lit(s), F.lit(i)))) if statuses else F.lit(None).cast("map<string,int>")
+    # (place, count) of each entry, in the order of places: equal ones stand together
+    known = F.filter(F.transform(flat, lambda x: F.struct(F.try_element_at(place, x["status"]).alias("at"), F.coalesce(x["count"], F.lit(0).cast("long")).alias("n"))), lambda x: x["at"].isNotNull())
+    empty = F.lit(None).cast("array<struct<at:int,n:bigint>>")
+    add = lambda done, x: F.when(F.try_element_at(done, F.lit(-1))["at"] == x["at"], F.array_append(F.slice(done, 1, F.size(done) - 1), F.struct(x["at"].alias("at"), (F.element_at(done, -1)["n"] + x["n"]).alias("n")))).otherwise(F.array_append(done, x))
+    sums = F.aggregate(F.array_sort(known), F.coalesce(empty, F.array().cast("array<struct<at:int,n:bigint>>")), add)
+    rows = docs.select("*", F.size(regions).cast("long").alias("_n"), sums.alias("_sums"))
+    count = lambda i, s: F.coalesce(F.get("_sums.n", (F.array_position("_sums.at", F.lit(i)) - 1).cast("int")), F.lit(0).cast("long")).alias(s)
+    return rows.select(or_default(F.col("_kabKotaName"), "-").alias("kab_name"), "username", "email", F.col("roleName").alias("role"), F.col("_n").alias("n_regions"), "total", *(count(i, s) for i, s in enumerate(statuses)))
 
 
 def long(docs: DataFrame) -> DataFrame:
@@ -90,20 +101,32 @@ def unpivot_statuses(grid: DataFrame, ids: Sequence[str], statuses: Sequence[str
     return grid.unpivot(list(ids), list(statuses), "status", "count")
 
 
-def numbered(df: DataFrame, bucket: str, order: Sequence[str], name: str = "no") -> DataFrame:
+def _bounds(df: DataFrame, column: str, ranges: int) -> list:
+    """Values that cut a column into about equal numbers of different values, from a
+    bounded sample by hash."""
+    sample = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(F.xxhash64(column)).limit(16 * ranges)
+    values = [r[0] for r in sample.orderBy(column).collect()]
+    return values[15::16]
+
+
+def numbered(df: DataFrame, bucket: str, order: Sequence[str], name: str = "no", ranges: int = 64) -> DataFrame:
     """1..n in the order of ``bucket`` and then ``order``, which must be total.
 
-    Rows are numbered within their bucket; the buckets' counts, not the rows,
-    are summed in one task.
+    Rows are numbered within ranges of their bucket, cut by the first column of
+    ``order``, so a bucket that holds most rows is dealt to up to ``ranges``
+    tasks; only the ranges' counts are summed in one task.  ``df`` is read three
+    times: give one that was written.
     """
-    from pyspark.sql import Window
-
     first = lambda c: F.col(c).asc_nulls_first()
-    counts = df.groupBy(bucket).agg(F.count("*").alias("_n"))
-    before = counts.select(F.col(bucket).alias("_b"), (F.coalesce(F.sum("_n").over(Window.orderBy(first(bucket)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(bucket).orderBy(*map(first, order)))
-    rows = df.withColumn("_within", within)
-    return rows.join(before, rows[bucket].eqNullSafe(before["_b"])).withColumn(name, F.col("_within") + F.col("_before")).drop("_within", "_b", "_before")
+    bounds = _bounds(df, order[0], ranges)
+    cell = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order[0]))) if bounds else F.lit(0)
+    rows = df.withColumn("_range", F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(cell))
+    counts = rows.groupBy(F.col(bucket).alias("_b"), F.col("_range").alias("_r")).agg(F.count("*").alias("_n"))
+    earlier = Window.orderBy(first("_b"), "_r").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("_b", "_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = rows.withColumn("_within", F.row_number().over(Window.partitionBy(bucket, "_range").orderBy(*map(first, order))))
+    joined = within.join(before, within[bucket].eqNullSafe(before["_b"]) & (within["_range"] == before["_r"]))
+    return joined.withColumn(name, F.col("_within") + F.col("_before")).drop("_within", "_b", "_r", "_range", "_before")
 
 
 def percent_done(done: Column, total: Column) -> Column:

@@ -20,17 +20,28 @@ def expand(kec: DataFrame, desa: DataFrame, sls: DataFrame, sub: DataFrame) -> D
     return out.select("id", "fullCode", "name", "slsId", "slsName", "slsFullCode", "desaId", "desaName", "kecId", "kecName")
 
 
-def tree(nodes: DataFrame, depth: int = 10) -> DataFrame:
-    """Every node of a hierarchy with its level and path of names, by a recursive
-    query from the roots (null parent).  Cycles end at ``depth``."""
-    name = f"_nodes_{id(nodes)}"
-    nodes.createOrReplaceTempView(name)
-    return nodes.sparkSession.sql(f"""
-        WITH RECURSIVE t(code, name, level, path) AS (
-          SELECT code, name, 1, CAST(name AS STRING) FROM {name} WHERE parent IS NULL
-          UNION ALL
-          SELECT n.code, n.name, t.level + 1, concat(t.path, ' / ', n.name) FROM {name} n JOIN t ON n.parent = t.code WHERE t.level < {depth})
-        SELECT code, name, level, path FROM t""")
+def tree(nodes: DataFrame) -> DataFrame:
+    """Every node of a hierarchy with its level and path of names, from the roots
+    (null parent) down.
+
+    Each level is a join of the nodes with the level above, until one is empty;
+    there is no limit of depth or rows.  A node that has itself among its parents
+    ends there; nodes that no root leads to have no row.
+    """
+    rows = nodes.select("code", "name", "parent")
+    level = rows.where("parent is null").select("code", "name", F.lit(1).alias("level"), F.col("name").cast("string").alias("path"), F.array("code").alias("_codes"))
+    out = level
+    while not level.isEmpty():
+        above = level.select(F.col("code").alias("parent"), (F.col("level") + 1).alias("level"), F.col("path").alias("_path"), "_codes")
+        below = rows.join(above, "parent").where(~F.array_contains("_codes", F.col("code")))
+        level = below.select("code", "name", "level", F.concat("_path", F.lit(" / "), "name").alias("path"), F.array_append("_codes", F.col("code")).alias("_codes"))
+        out = out.unionByName(level)
+    return out.drop("_codes")
+
+
+def sorted_regions(regions: DataFrame) -> DataFrame:
+    """Regions in the order of their full codes, by which crawls are dealt out."""
+    return regions.orderBy("fullCode")
 
 
 def rollup(rows: DataFrame, levels: list[str]) -> DataFrame:

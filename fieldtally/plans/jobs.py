@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, progress, regions, respondents
+from ..operators import merge, progress, respondents
+from ..operators import regions as regions_of
 from ..sources import readers, writers
 from ..statuses import STATUSES
 
@@ -45,15 +46,41 @@ def sync_snapshot(docs: DataFrame, previous: DataFrame | None, out: str, version
 
 def sync_workbooks(spark: SparkSession, folder: str, state: DataFrame, previous: DataFrame | None, out: str, version: str, hours: float = 2) -> DataFrame | None:
     """The newest batch of workbooks as a snapshot; None if none is newer than
-    the high-water mark in ``state`` (``last_processed``)."""
+    the high-water mark in ``state`` (``last_processed``).
+
+    Only files of the batch are opened; their rows are written once and read from
+    there, so no file is parsed twice.
+    """
     from ..streaming.incremental import is_new
 
     files = readers.listing(spark, folder, "*.xlsx")
     if is_new(files, state).isEmpty():
         return None
-    batch = merge.latest_batch(files, "modified", hours).select(F.col("path").alias("source_file"))
-    rows = readers.workbooks(spark, folder).join(batch, "source_file", "left_semi")
-    return sync_snapshot(readers.workbook_documents(rows), previous, out, version)
+    chosen = [r.path for r in merge.latest_batch(files, "modified", hours).select("path").collect()]
+    parsed = f"{out}/parsed/version={version}"
+    readers.workbooks(spark, chosen).write.mode("overwrite").parquet(parsed)
+    return sync_snapshot(readers.workbook_documents(spark.read.parquet(parsed)), previous, out, version)
+
+
+def sync_new_workbooks(spark: SparkSession, folder: str, previous: DataFrame | None, out: str, version: str, hours: float = 2, force: bool = False) -> DataFrame | None:
+    """``sync_workbooks`` with the high-water mark kept beside the snapshots: the
+    newest file's time is written after the batch, so a run that fails is taken
+    again, and a run without newer files does nothing unless ``force``."""
+    path = f"{out}/state"
+    none = readers.state(spark, path).limit(0)
+    newest = readers.listing(spark, folder, "*.xlsx").agg(F.max("modified").alias("last_processed")).first()
+    done = sync_workbooks(spark, folder, none if force else readers.state(spark, path), previous, out, version, hours)
+    if done is not None:
+        writers.write_mark(spark.createDataFrame([newest], "last_processed timestamp"), path)
+    return done
+
+
+def remaining_regions(spark: SparkSession, regions: DataFrame, resume: str | None) -> DataFrame:
+    """Regions that a resume list doesn't have, in the order of their codes."""
+    if resume is not None:
+        done = readers.finished(spark, resume).withColumnRenamed("code", "fullCode")
+        regions = merge.not_done(regions, done, "fullCode")
+    return regions_of.sorted_regions(regions)
 
 
 def sync_assignments(assignments: DataFrame, kabs: Sequence[str], grid: str) -> None:
@@ -74,4 +101,4 @@ def respondent_report(rows: DataFrame, region_dim: DataFrame | None = None) -> D
 
 def region_dimension(spark: SparkSession, folder: str) -> DataFrame:
     """Landed level files (level3 to level6) as the flat level-6 dimension."""
-    return regions.expand(*(readers.region_level(spark, f"{folder}/level{i}") for i in range(3, 7)))
+    return regions_of.expand(*(readers.region_level(spark, f"{folder}/level{i}") for i in range(3, 7)))

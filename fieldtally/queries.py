@@ -58,8 +58,8 @@ def progress_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{_WITH} SELECT level_2_name AS kab_name, level_6_full_code AS region_code, current_user_username AS username, current_user_username AS email, 'Pencacah' AS role, count(*) AS total, {_count(_SEEN)}
 FROM doc GROUP BY level_2_name, level_6_full_code, current_user_username""")
 def progress_wide_from_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = analog.documents(spark, sf_dir)
-    return progress.wide(docs, progress.found_statuses(docs))
+    statuses = progress.status_values(analog.assignments(spark, sf_dir).where("level_6_full_code is not null and current_user_username is not null"), "assignment_status_alias")
+    return progress.wide(analog.documents(spark, sf_dir), statuses)
 
 
 @query(f"""{_WITH} SELECT level_2_name AS kab_name, current_user_username AS username, current_user_username AS email, 'Pencacah' AS role, count(DISTINCT level_6_full_code) AS n_regions, count(*) AS total, {_count(_SEEN)}
@@ -242,9 +242,105 @@ def dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check(_table(spark, sf_dir, "lineitem"), "lineitem", ["l_orderkey", "l_linenumber"], rules)
 
 
-@query("SELECT c_custkey AS o_custkey FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("SELECT c_custkey AS o_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'")
 def anti_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.missing_codes(_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey")), _table(spark, sf_dir, "orders"), "o_custkey")
+    """Customers without an urgent order."""
+    found = _table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return merge.missing_codes(_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey")), found, "o_custkey")
+
+
+_BUSINESS_SQL = " UNION ALL ".join(analog.rule_sql(r) for r in checks.BUSINESS_RULES)
+
+
+@query(f"WITH business AS ({analog.BUSINESS}) {_BUSINESS_SQL}")
+def questionnaire_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The questionnaire's own rules (D1-D10) over a simulated business table."""
+    return checks.check(analog.business(spark, sf_dir), "business", ["assignment_id"], checks.BUSINESS_RULES)
+
+
+_PAY = ("pend_gaji", "tunjangan", "uangmkn", "honor", "lembur", "lainnya")
+
+
+@query(f"WITH pay AS ({analog.PAY}) SELECT assignment_id, {' + '.join(f'coalesce({c}, 0)' for c in _PAY)} = whole AS ok FROM pay")
+def currency_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pay as a currency text against the sum of its parts."""
+    return checks.currency_sum_rule(analog.pay(spark, sf_dir), ["assignment_id"], "nilai_pend_pekerjaan", _PAY)
+
+
+@query("""SELECT * FROM (SELECT o_orderkey, 'motor' AS item, CAST(o_custkey % 3 AS VARCHAR) AS before, CAST(o_orderkey % 3 AS VARCHAR) AS after FROM orders
+UNION ALL SELECT o_orderkey, 'mobil', CAST(nullif(o_custkey % 5, 0) AS VARCHAR), CAST(nullif(o_orderkey % 5, 0) AS VARCHAR) FROM orders) WHERE before IS DISTINCT FROM after""")
+def changed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prelisted against updated counts, null where there is none."""
+    rows = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey % 3 AS motor", "o_orderkey % 3 AS motor_new", "nullif(o_custkey % 5, 0) AS mobil", "nullif(o_orderkey % 5, 0) AS mobil_new")
+    return checks.changed_items(rows, ["o_orderkey"], ["motor", "mobil"])
+
+
+@query("""SELECT * FROM (SELECT o_orderkey, 1 AS slot, CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority END AS explanation, o_custkey % 11 = 0 AS resolved FROM orders
+UNION ALL SELECT o_orderkey, 2, CASE WHEN o_orderkey % 5 = 0 THEN 'why' END, o_custkey % 13 = 0 FROM orders) WHERE explanation IS NOT NULL OR resolved""")
+def anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slots with an explanation, or resolved."""
+    rows = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", "if(o_orderkey % 7 = 0, o_orderpriority, ' ') AS e1", "if(o_custkey % 11 = 0, '2026', null) AS r1", "if(o_orderkey % 5 = 0, ' why', null) AS e2", "if(o_custkey % 13 = 0, '2026', null) AS r2")
+    return checks.anomalies(rows, ["o_orderkey"], [("e1", "r1"), ("e2", "r2")])
+
+
+@query("SELECT p_brand AS block, count(*) AS variables, count(CASE WHEN p_partkey % 3 > 0 THEN 1 END) AS mapped, count(CASE WHEN p_partkey % 3 > 0 THEN 1 END) / count(*) AS ratio FROM part GROUP BY p_brand")
+def mapping_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many variables of a block have a column."""
+    return checks.mapping_ratio(_table(spark, sf_dir, "part").selectExpr("p_brand AS block", "if(p_partkey % 3 > 0, p_name, ' ') AS column_name"))
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN o_custkey WHEN 1 THEN o_custkey WHEN 2 THEN -o_custkey ELSE 0 END AS n FROM orders")
+def leading_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts that cells hold as text, with and without something after them."""
+    text = "CASE o_orderkey % 4 WHEN 0 THEN concat(o_custkey, ' rows') WHEN 1 THEN concat(' ', o_custkey, '.7') WHEN 2 THEN concat('-', o_custkey) ELSE 'none' END"
+    return _table(spark, sf_dir, "orders").select("o_orderkey", F.expr(text).alias("t")).select("o_orderkey", S.leading_int(F.col("t")).alias("n"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 < 3 THEN CAST(date_trunc('second', ts) AS TIMESTAMP) END AS at FROM events")
+def any_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three spellings of a time, and a text that is none."""
+    forms = "CASE event_id % 4 WHEN 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') WHEN 1 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\") WHEN 2 THEN concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), '.000Z') ELSE 'soon' END"
+    return _table(spark, sf_dir, "events").select("event_id", F.expr(forms).alias("t")).select("event_id", S.any_timestamp(F.col("t")).alias("at"))
+
+
+@query(f"{_WITH} SELECT count(*) AS officers, CAST(sum(n) AS BIGINT) AS regions FROM (SELECT count(DISTINCT level_6_full_code) AS n FROM doc GROUP BY level_2_full_code, current_user_username)")
+def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progress.totals(analog.documents(spark, sf_dir))
+
+
+@query("SELECT o_custkey, CAST(floor(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) / count(*) * 100 + 0.5) AS BIGINT) AS percent FROM orders GROUP BY o_custkey")
+def percent_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = _table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count_if(F.col("o_orderstatus") == "F").alias("done"), F.count("*").alias("n"))
+    return n.select("o_custkey", progress.percent_done(F.col("done"), F.col("n")).alias("percent"))
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 3 = 0) ORDER BY c_custkey")
+def resume_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """work that isn't on the list of what is finished."""
+    done = _table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    return merge.not_done(_table(spark, sf_dir, "customer").select("c_custkey", "c_name"), done, "c_custkey")
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
+def respondents_of_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of given regions, by their codes."""
+    some = _table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'")
+    return respondents.of_regions(_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), some, "o_custkey", "c_custkey")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R' AND coalesce(nullif(l_linenumber % 4, 0) - 2, -1) < 0")
+def target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """targets without an error."""
+    rows = _table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", "if(l_returnflag = 'R', '1', '0') AS is_target", "nullif(l_linenumber % 4, 0) - 2 AS error")
+    return merge.targets(rows, error_status="error").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 12")
+def capped_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions that reach the service's row limit, here of 12."""
+    from .sources.readers import capped_regions as capped
+
+    return capped(_table(spark, sf_dir, "orders"), "o_custkey", 12)
 
 
 @query("SELECT count(*) AS expected, count(o_custkey) AS succeeded, count(*) - count(o_custkey) AS missing FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON o_custkey = c_custkey")
@@ -272,7 +368,11 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_type, count(*) AS n, CAST(0 AS BIGINT) AS again FROM events GROUP BY event_type")
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of what one run took in, and the rows of a second run (none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="fieldtally-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="fieldtally-")
     base = f"{base}/resume-{uuid.uuid4().hex}"
     schema = _table(spark, sf_dir, "events").schema
     runs = [incremental.run_available(incremental.parquet_stream(spark, sf_dir, schema, "events.parquet"), incremental.append_to(f"{base}/out"), f"{base}/state") for _ in range(2)]

@@ -67,6 +67,32 @@ def listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
+def state(spark: SparkSession, path: str) -> DataFrame:
+    """The marks that ``writers.write_mark`` wrote; empty before the first."""
+    schema = "last_processed timestamp, key string"
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def finished(spark: SparkSession, path: str) -> DataFrame:
+    """The region codes of a resume list, a JSON object with either of its two keys
+    (``completedRegions``, ``completed``)."""
+    lists = spark.read.schema("completedRegions array<string>, completed array<string>").option("multiLine", True).json(path)
+    return lists.select(F.explode(F.coalesce("completedRegions", "completed")).alias("code")).distinct()
+
+
+def capped_regions(respondents: DataFrame, region: str, cap: int = 1000) -> DataFrame:
+    """Regions with as many rows as the service returns at the most: some of their
+    rows may be missing, and they must be fetched in smaller parts."""
+    return respondents.groupBy(region).agg(F.count("*").alias("n")).where(F.col("n") >= cap)
+
+
 def run_sql(spark: SparkSession, text: str, limit: int | None = 1000) -> DataFrame:
     """A statement over the registered views, with a row limit (None: all rows);
     errors are raised."""
@@ -127,15 +153,32 @@ def _sheet_rows(data: bytes, prefer: Sequence[str]) -> list[list[str | None]]:
         return rows
 
 
-def workbooks(spark: SparkSession, path: str, prefer: Sequence[str] = SHEETS) -> DataFrame:
-    """The rows of workbooks, one for each officer, region and status.
+def header_places(header: Sequence[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """Where the known fields and the other headers stand.
+
+    Of a field's names, the first in ``HEADERS`` that the sheet has decides,
+    whatever the order of columns; other names of fields are no statuses.
+    """
+    lower = [h.lower() for h in header]
+    fields = {field: next((lower.index(a) for a in aliases if a in lower), -1) for field, aliases in HEADERS.items() if field}
+    known = {a for aliases in HEADERS.values() for a in aliases}
+    return {f: i for f, i in fields.items() if i >= 0}, {h: i for i, h in enumerate(header) if h and h.lower() not in known}
+
+
+def _is_count(text: str | None) -> bool:
+    return re.match(r"\s*[+-]?[0-9]", text or "0") is not None
+
+
+def workbooks(spark: SparkSession, path: str | Sequence[str], prefer: Sequence[str] = SHEETS) -> DataFrame:
+    """The rows of workbooks, given as a folder or as files; one for each officer,
+    region and status.
 
     ``source_file``, ``modified``, ``row_no``, ``kab``, ``region``, ``username``,
     ``email``, ``role``, ``total``, ``status`` and ``count`` (text).  Headers are
-    known by name; any other header is a status.  Files are parsed in parallel,
-    one at a time in a task.
+    known by name; any other header is a status if all its cells are empty or
+    start with a number, else the column is refused with its file.  Files are
+    parsed in parallel, one at a time in a task.
     """
-    known = {alias: name for name, aliases in HEADERS.items() for alias in aliases}
     fields = ["kab", "region", "username", "email", "role", "total"]
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -143,20 +186,19 @@ def workbooks(spark: SparkSession, path: str, prefer: Sequence[str] = SHEETS) ->
             for file in frame.itertuples():
                 rows = _sheet_rows(file.content, prefer)
                 header = [(h or "").strip() for h in rows[0]] if rows else []
-                names = [known.get(h.lower(), None if h else "") for h in header]
+                places, statuses = header_places(header)
+                cell = lambda row, i: row[i] if i is not None and i < len(row) else None
+                wrong = [h for h, i in statuses.items() if not all(_is_count(cell(row, i)) for row in rows[1:])]
+                if wrong:
+                    raise ValueError(f"{file.path}: not counts: {wrong}")
                 out = []
                 for no, row in enumerate(rows[1:], 1):
-                    cell = dict.fromkeys(fields)
-                    for n, v in zip(names, row):
-                        if n:
-                            cell[n] = v
-                    for h, n, v in zip(header, names, [*row, *[None] * len(header)]):
-                        if n is None:
-                            out.append([file.path, file.modificationTime, no, *cell.values(), h, v])
+                    own = [cell(row, places.get(f)) for f in fields]
+                    out += [[file.path, file.modificationTime, no, *own, h, cell(row, i)] for h, i in statuses.items()]
                 yield pd.DataFrame(out, columns=["source_file", "modified", "row_no", *fields, "status", "count"])
 
     schema = "source_file string, modified timestamp, row_no long, " + ", ".join(f"{f} string" for f in fields) + ", status string, count string"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path).select("path", "modificationTime", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path if isinstance(path, str) else list(path)).select("path", "modificationTime", "content")
     return files.mapInPandas(parse, schema)
 
 

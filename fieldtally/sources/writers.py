@@ -29,6 +29,11 @@ def expired(files: DataFrame, keep: int = 30) -> DataFrame:
     return files.join(retained(files, keep).select("path"), "path", "left_anti")
 
 
+def write_mark(marks: DataFrame, path: str) -> None:
+    """Append what has been processed: ``last_processed`` (a time) or ``key``."""
+    marks.write.mode("append").json(path)
+
+
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Overwrite only the partitions that ``df`` has; others stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)

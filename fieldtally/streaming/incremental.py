@@ -12,8 +12,12 @@ def run_available(source: DataFrame, sink: Callable[[DataFrame, int], None], che
     """Process what has arrived since the last run with this checkpoint, then
     stop; the number of input rows.  Two runs at once can't share a checkpoint."""
     query = source.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:  # only the last reports are kept by a query, so they are read as it goes on
+        ended = query.awaitTermination(1)
+        rows |= {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
+    return sum(rows.values())
 
 
 def parquet_stream(spark: SparkSession, path: str, schema, pattern: str | None = None) -> DataFrame:
@@ -32,13 +36,16 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
 
 def merge_into(path: str, keys: Sequence[str], sequence: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """A sink that keeps the first row of each key: every batch writes the next
-    version of the table, and a batch that is repeated writes the same one."""
+    version of the table, and a batch that is repeated writes the same one.  The
+    version before the last is dropped: a repeated batch needs only the last."""
     from ..operators.merge import first_seen
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch if number == 0 else spark.read.parquet(f"{path}/version={number - 1}").unionByName(batch)
         first_seen(new, keys, sequence).write.mode("overwrite").parquet(f"{path}/version={number}")
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number - 2}")
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
 
     return sink
 

@@ -90,3 +90,12 @@ def test_key_join_of_text_and_number(spark):
     out = checks.key_join(left, right)
     assert out.columns == ["assignment_id", "index1", "name", "name_right"]
     assert {tuple(r) for r in out.collect()} == {("a", "1", "x", "p"), ("a", " 02", "y", "q"), ("b", "z", "w", None), ("c", None, "v", None)}
+
+
+def test_rules_that_do_not_fit_are_reported(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.warns(UserWarning, match="workers_by_sex"):
+        none = checks.check(df, "t", ["id"], checks.BUSINESS_RULES[:1])
+    assert none.count() == 0 and none.columns == ["table_name", "id", "rule", "ok"] and dict(none.dtypes)["ok"] == "boolean"
+    assert checks.missing_columns(df, checks.BUSINESS_RULES[:1]) == {"workers_by_sex": ["tk_laki", "tk_pr", "total_tk_jk"]}
+    assert checks.check(df, "t", ["id"], []).count() == 0

@@ -73,6 +73,20 @@ def test_workbook_round_trip(spark, tmp_path):
     assert docs["u2"].regionSummary is None and docs["u3"]._kabKotaCode == "00"
     with pytest.raises(ValueError):
         writers.workbook({"s": spark.range(20)}, most=10)
+    (tmp_path / "wrong").mkdir()
+    (tmp_path / "wrong/x.xlsx").write_bytes(writers.workbook({"s": spark.createDataFrame([("u", "1"), ("v", "late")], "Username string, NOTE string")}))
+    with pytest.raises(Exception, match="not counts"):
+        readers.workbooks(spark, str(tmp_path / "wrong")).count()
+
+
+def test_the_first_name_of_a_field_decides():
+    fields, statuses = readers.header_places(["Total Assignment", "OPEN", "Username Petugas", "username", "Total Target", "", "Kode Wilayah"])
+    assert fields == {"region": 6, "username": 3, "total": 4} and statuses == {"OPEN": 1}
+
+
+def test_regions_at_the_row_limit(spark):
+    rows = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2, "code string")
+    assert [tuple(r) for r in readers.capped_regions(rows, "code", 3).collect()] == [("a", 3)]
 
 
 def test_a_second_run_finds_nothing(spark, tmp_path):

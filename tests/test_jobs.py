@@ -1,9 +1,10 @@
 import json
+import os
 
 from fieldtally import __main__ as command
 from fieldtally import schemas
 from fieldtally.plans import jobs
-from fieldtally.sources import writers
+from fieldtally.sources import readers, writers
 
 
 def doc(user, region, count):
@@ -58,3 +59,29 @@ def test_respondents_regions_and_sql(spark, tmp_path, capsys):
     command.main(["query", "select id from t order by id", "--tables", str(tmp_path), "--names", "t", "--limit", "2"])
     shown = capsys.readouterr().out
     assert json.loads(shown[shown.index("[{") :]) == [{"id": 0}, {"id": 1}]
+
+
+def test_the_high_water_mark_is_kept(spark, tmp_path):
+    grid = spark.createDataFrame([("X", "6104012003000102", "u1", "3")], "`Kab/Kota` string, `Kode Wilayah` string, Username string, OPEN string")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.xlsx").write_bytes(writers.workbook({"Progress per SLS": grid}))
+    (tmp_path / "in/older.xlsx").write_bytes(b"not a workbook, and never opened")
+    os.utime(tmp_path / "in/older.xlsx", (1000, 1000))
+    run = lambda version, **more: jobs.sync_new_workbooks(spark, str(tmp_path / "in"), None, str(tmp_path / "out"), version, **more)
+    assert run("1").count() == 1
+    assert run("2") is None and run("3", force=True).count() == 1
+    assert sorted(p.name for p in (tmp_path / "out/snapshot").iterdir() if p.is_dir()) == ["version=1", "version=3"]
+    command.main(["workbooks", str(tmp_path / "in"), str(tmp_path / "out")])
+    assert readers.state(spark, str(tmp_path / "out/state")).count() == 2
+
+
+def test_sqllab_and_resume_commands(spark, tmp_path):
+    schema = "assignment_id string, level_2_full_code string, level_2_name string, level_6_full_code string, current_user_username string, current_user_survey_role_name string, assignment_status_alias string"
+    spark.createDataFrame([("1", "6104", "X", "6104000000000001", "u", "p", "OPEN"), ("2", "6105", "Y", "6105000000000001", "u", "p", "OPEN")], schema).write.parquet(str(tmp_path / "a"))
+    command.main(["sync-sqllab", str(tmp_path / "a"), str(tmp_path / "g"), "--kab", "5"])
+    assert [r.region_code for r in spark.read.parquet(str(tmp_path / "g")).collect()] == ["6105000000000001"]
+    regions = spark.createDataFrame([("2",), ("1",), ("3",)], "fullCode string")
+    for key in ("completedRegions", "completed"):
+        (tmp_path / f"{key}.json").write_text(json.dumps({key: ["3"]}))
+        assert [r.fullCode for r in jobs.remaining_regions(spark, regions, str(tmp_path / f"{key}.json")).collect()] == ["1", "2"]
+    assert jobs.remaining_regions(spark, regions, None).count() == 3

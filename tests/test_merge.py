@@ -70,3 +70,26 @@ def test_respondents(spark):
     assert [out[i].place for i in "123"] == ["six", "five", "-"]
     assert [out[i].found for i in "123"] == ["Belum diisi", "1. Ya", "Belum diisi"]
     assert out["1"].latitude == "-" and out["3"].kab == "-"
+
+
+def test_trees_have_no_limit_of_depth_and_end_at_cycles(spark):
+    chain = [(str(i), f"n{i}", str(i - 1) if i else None) for i in range(14)]
+    loop = [("x", "X", "13"), ("y", "Y", "x"), ("x", "X", "y")]
+    out = {(r.code, r.level) for r in regions.tree(spark.createDataFrame(chain + loop, "code string, name string, parent string")).collect()}
+    assert out == {(str(i), i + 1) for i in range(14)} | {("x", 15), ("y", 16)}
+    assert regions.tree(spark.createDataFrame([], "code string, name string, parent string")).count() == 0
+
+
+def test_the_batch_filter_reaches_the_scan(spark, tmp_path):
+    spark.sql("select timestamp'2026-01-01 00:00:00' + make_dt_interval(0, id) as at, id from range(10)").write.parquet(str(tmp_path / "t"))
+    out = merge.latest_batch(spark.read.parquet(str(tmp_path / "t")), "at", 2)
+    assert sorted(r.id for r in out.collect()) == [7, 8, 9]
+    plan = out._jdf.queryExecution().explainString(out.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "GreaterThanOrEqual(at,ScalarSubquery" in plan
+    text = spark.createDataFrame([("2026-01-01 00:00:00",), ("2026-01-01 03:00:00",)], "at string")
+    assert merge.latest_batch(text, "at", 2).count() == 1
+
+
+def test_targets(spark):
+    df = spark.createDataFrame([("1", None), ("true", "-1"), ("1", "2"), ("0", None), (None, None)], "is_target string, error string")
+    assert (merge.targets(df).count(), merge.targets(df, error_status="error").count()) == (3, 2)

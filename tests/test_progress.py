@@ -92,3 +92,24 @@ def test_empty_documents(spark):
     empty = spark.createDataFrame([], schemas.PROGRESS_DOC)
     assert progress.wide(empty, statuses.STATUSES).count() == progress.long(empty).count() == 0
     assert tuple(progress.totals(empty).first()) == (0, 0)
+
+
+def test_numbers_go_on_over_ranges_and_nulls(spark):
+    rows = [(b, o, k) for b in ("x", None, "a") for o in (None, *range(40)) for k in range(2)]
+    df = spark.createDataFrame(rows, "b string, o int, k int").repartition(5)
+    out = progress.numbered(df, "b", ["o", "k"], ranges=4).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0, r[2]))
+    assert [(r.b, r.o, r.k) for r in sorted(out, key=lambda r: r.no)] == order and sorted(r.no for r in out) == list(range(1, len(rows) + 1))
+    assert progress.numbered(df.limit(0), "b", ["o", "k"]).count() == 0
+
+
+def test_repeated_and_missing_statuses(spark):
+    from fieldtally import schemas
+
+    twice = [("A", 1), ("B", 2), ("A", 5), (None, 9)]
+    docs = spark.createDataFrame([("u", None, None, 1, "04", None, [("R", 1, twice), ("S", 1, None), ("T", 1, [("A", None)])]), ("v", None, None, 1, "04", "X", None), ("w", None, None, 1, "04", "X", [])], schemas.PROGRESS_DOC)
+    wide = {r.region_code: (r.A, r.B, r.C) for r in progress.wide(docs, ["A", "B", "C"]).collect()}
+    assert wide == {"R": (5, 2, 0), "S": (0, 0, 0), "T": (0, 0, 0)}
+    summary = {r.username: (r.n_regions, r.A, r.B, r.C) for r in progress.officer_summary(docs, ["A", "B", "C"]).collect()}
+    assert summary == {"u": (3, 6, 2, 0), "v": (0, 0, 0, 0), "w": (0, 0, 0, 0)}
+    assert progress.status_values(docs.select("username"), "username")[-3:] == ["u", "v", "w"]
