@@ -88,3 +88,69 @@ def test_temperature_and_index_vectors():
     p = quality.train(x, y, s).scores(x)
     bins = [(p[m].mean(), y[m].mean()) for m in (p < 0.3, (p >= 0.3) & (p < 0.7), p >= 0.7)]
     assert all(abs(a - b) < 0.15 for a, b in bins)
+
+
+def test_word_vectors_and_features_against_plain_loops(spark):
+    s = quality.Settings(buckets=64, dims=8)
+    texts = ["one two, three two one", "", None, "four", "two 22 two", "three one " * 40]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    vectors, index = quality.word_vectors(docs, s), quality.index_vectors(s).astype(float)
+    total = np.zeros((s.buckets, s.dims))
+    ids = [[zlib.crc32(w.encode()) % s.buckets for w in quality._TOKEN.findall(t or "")] for t in texts]
+    for words in ids:
+        for i, w in enumerate(words):
+            for j in range(max(0, i - s.window), min(len(words), i + s.window + 1)):
+                if i != j:
+                    total[w] += index[words[j]]
+    size = np.abs(total).max(1, keepdims=True)
+    plain = total / np.maximum(1e-9, size)
+    plain -= plain[size[:, 0] > 0].mean(0)
+    plain /= np.maximum(1e-9, np.linalg.norm(plain, axis=1, keepdims=True))
+    assert np.allclose(vectors, plain, atol=1e-5)
+    for words in ids:
+        v = np.array([vectors[w] for w in words], float).reshape(-1, s.dims)
+        change = sum((np.abs(b - a) for a, b in zip(v, v[1:])), np.zeros(s.dims)) / max(1, len(v) - 1)
+        want = np.concatenate([v.mean(0), v.std(0), change]) if len(v) else np.zeros(3 * s.dims)
+        assert np.allclose(quality.pooled(np.array(words, np.int32), vectors), [*want, np.log1p(len(words)) / 10], atol=1e-3)
+
+
+def test_toxicity_features_and_risk_against_plain_loops():
+    s = toxicity.Settings(bits=12, prefixes=(2, 4), steps=25)
+    texts = ["bad worse bad", "fine words here", "", "worse weather here", "bad"]
+    made = toxicity.Features(s)
+    sets = []
+    for t in texts:
+        plain, words = {}, t.split()
+        for w in words:
+            for form in [w + "$", *(w[:k] for k in s.prefixes if len(w) >= k)]:
+                k = zlib.crc32(form.encode()) % (1 << s.bits)
+                plain[k] = plain.get(k, 0) + 1
+        plain = {k: min(1.0, s.steep * n / len(words)) for k, n in plain.items()}
+        assert made.of(t) == plain
+        sets.append(plain)
+    rows = [(i in (0, 4), i in (1, 2, 3), f) for i, f in enumerate(sets)]
+    prior = 0.3
+
+    def score(model, f):
+        return model.bias + sum(model.weights.get(k, 0) * x for k, x in f.items())
+
+    def risk(model):
+        loss = lambda z, y: np.log1p(np.exp(-z if y else z))
+        p, u = [score(model, f) for a, _, f in rows if a], [score(model, f) for _, b, f in rows if b]
+        zero = np.mean([loss(z, 0) for z in u]) - prior * np.mean([loss(z, 0) for z in p])
+        return prior * np.mean([loss(z, 1) for z in p]) + max(0, zero)
+
+    start = toxicity.Model({}, float(np.log(prior / (1 - prior))))
+    model = toxicity.train(rows, prior, s)
+    assert risk(model) < risk(start) and score(model, sets[0]) > score(model, sets[1])
+    scorer = toxicity.Scorer(model, s)
+    for t, f in zip(texts, sets):
+        assert abs(scorer.score(t) - 1 / (1 + np.exp(-score(model, f)))) < 1e-9
+
+
+def test_other_columns_stay_out_of_python(spark):
+    docs, labels = corpus(spark)
+    odd = docs.withColumns({"when": F.expr("interval '1' month"), "raw": F.expr("map(struct(1), array(x'00'))")})
+    for scores in (quality.quality_scores, toxicity.toxicity_scores):
+        out = scores(odd, labels).select("row.*")
+        assert out.columns == odd.columns and out.where("map_keys(raw)[0].col1 = 1").count() == docs.count()
