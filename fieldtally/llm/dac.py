@@ -142,13 +142,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
     return Table(ordered.mapInArrow(write, f"part int, shard int, first long, doc_ids array<{kind}>, lengths array<long>, image binary"), "dac")
 
 
-def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def read_token_files(files: DataFrame, id_col: str = "doc_id", most_broadcast: int = 200_000) -> DataFrame:
     """Per document of the images that ``write_token_files`` wrote: ``id_col``,
     ``start`` (ids of all documents before it), ``n_tokens`` and ``ids_crc32``.
 
-    The writer has summed ids within its part; here only parts are summed.  The
-    join with their sums, one row for each part, is left to the engine, which
-    sends them to the tasks where they are small.
+    The writer has summed ids within its part; here only parts are summed.  Their
+    sums, one row for each part, are sent to the tasks if there are at most
+    ``most_broadcast`` after counting them, and joined beyond; so images don't
+    move in usual files.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = files.select("part", F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
@@ -164,6 +165,8 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(reader.slice(int(e - n), int(e)).tobytes()) for e, n in zip(ends, lengths)]
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
+    if files.select("part").distinct().count() <= most_broadcast:
+        parts = F.broadcast(parts)
     placed = files.join(parts, "part").select((F.col("first") + F.col("part_start")).alias("start"), "doc_ids", "lengths", "image")
     return placed.mapInArrow(read, f"id {kind}, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
 

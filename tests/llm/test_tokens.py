@@ -123,6 +123,8 @@ def test_codes_refuse_what_they_cannot_hold():
 def test_token_files(spark, docs, shard):
     files = dac.write_token_files(docs, WORD, end_id=2, shard_tokens=shard, batch_bytes=64).read()
     rows = sorted(dac.read_token_files(files).collect(), key=lambda r: r.start)
+    if shard == 50:  # the same without a broadcast
+        assert sorted(dac.read_token_files(files, most_broadcast=0).collect(), key=lambda r: r.start) == rows
     at = 0
     order = [r.doc_id for r in rows]
     assert order == sorted(order, key=lambda i: (i is not None, i or 0))
