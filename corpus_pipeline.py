@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldtally.llm import minhash, packing, quality, toxicity
-from fieldtally.llm.common import materialize
+from fieldtally.llm.common import Table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +51,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    earlier = None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        table = Table(stage(spark, docs, sf_dir), name)
+        if earlier is not None:
+            earlier.drop()  # all that was read of it is written
+        earlier, docs = table, table.read()
     return STAGES[-1][1](spark, docs, sf_dir)
