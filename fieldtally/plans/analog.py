@@ -7,10 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.checks import SumRule
 from ..operators.progress import nest
-from ..sources.readers import register
 from ..statuses import STATUSES
 
 _STATUS = " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(STATUSES))
@@ -28,6 +28,17 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """
 
 TABLES = ["orders", "customer", "nation", "region"]
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def register(spark: SparkSession, sf_dir: str, tables: list[str]) -> None:
+    """The tables as views.  Their schemas are read once in a session, as that is a
+    job for each table; their files are listed each time."""
+    for t in tables:
+        path = f"{sf_dir}/{t}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = spark.read.parquet(path).schema
+        spark.read.schema(_SCHEMAS[path]).parquet(path).createOrReplaceTempView(t)
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
