@@ -108,8 +108,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
 
     The table written to the shared folder has a row for each image: ``part``
     and ``shard`` (their order is the order of the ids), ``first`` (the ids of
-    its part before it), ``doc_ids``, ``lengths`` and ``image``.  A range partitioning by id brings neighbours
-    together; a document is never split over two images.
+    its part before it), ``doc_ids``, ``lengths`` and ``image``.  A range
+    partitioning by id brings neighbours together; a document is never split over
+    two images.  Rows of one id, or of none, stand in the order of a hash of their
+    texts, which is part of the range, so however many they are they don't come to
+    one task.
 
     A null or empty text has the end id alone; null ids come first; repeated
     ids keep all their rows; other columns are ignored; an empty table gives an
@@ -138,7 +141,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
         if raws:
             yield image()
 
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
+    order = [F.col("id").asc_nulls_first(), F.col("tie")]
+    ordered = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order).drop("tie")
     return Table(ordered.mapInArrow(write, f"part int, shard int, first long, doc_ids array<{kind}>, lengths array<long>, image binary"), "dac")
 
 

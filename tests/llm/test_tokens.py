@@ -141,6 +141,15 @@ def test_token_files(spark, docs, shard):
         assert sorted(map(str, found)) == sorted(str(Row(part=p, shard=k, position=i, token=token if (p, k, i) == asked[0] else None)) for p, k, i in asked)
 
 
+def test_rows_of_one_id_are_dealt_to_several_parts(spark):
+    rows = spark.createDataFrame([(None, f"text {i} and more {i % 7}") for i in range(400)] + [(3, "last")], "doc_id long, text string").repartition(4)
+    files = dac.write_token_files(rows, WORD, end_id=2).read()
+    assert files.select("part").distinct().count() > 1
+    read = sorted(dac.read_token_files(files).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in read] == [None] * 400 + [3]
+    assert [r.start for r in read] == list(itertools.accumulate([r.n_tokens for r in read], initial=0))[:-1]
+
+
 def test_no_documents_no_files(spark, docs):
     assert dac.read_token_files(dac.write_token_files(docs.limit(0), WORD, 2).read()).count() == 0
 
