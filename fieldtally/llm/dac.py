@@ -29,14 +29,16 @@ RANK_BLOCK = 512
 def encode(ids: np.ndarray, widths: Sequence[int] = (8, 8, 16)) -> bytes:
     """A file image: magic, number of ids, number of levels, then each level's
     width, length, chunks, continuation bitmap and rank directory."""
-    left = np.asarray(ids, np.uint64)
+    left = np.asarray(ids)
+    if left.dtype != np.uint32:
+        left = left.astype(np.uint64)
     levels = []
     for k, width in enumerate(widths):
-        rest = left >> np.uint64(width)
+        rest = left >> left.dtype.type(width)
         more = rest > 0
         if k == len(widths) - 1 and more.any():
             raise ValueError("an id needs more bits than the levels have")
-        chunk = (left & np.uint64((1 << width) - 1)).astype("<u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
+        chunk = (left & left.dtype.type((1 << width) - 1)).astype("<u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
         bits = np.packbits(more, bitorder="little")
         blocks = np.add.reduceat(more, np.arange(0, len(more), RANK_BLOCK), dtype="<u4") if len(more) else np.zeros(0, "<u4")
         ranks = np.concatenate([[0], np.cumsum(blocks)[:-1]]).astype("<u4") if len(more) else blocks
@@ -166,7 +168,8 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id", most_broadcast: i
                 start, lengths = batch.column(0)[k].as_py(), np.array(batch.column(2)[k].as_py(), np.int64)
                 reader = Reader(batch.column(3)[k].as_buffer().to_pybytes())
                 ends = np.cumsum(lengths)
-                crc = [zlib.crc32(reader.slice(int(e - n), int(e)).tobytes()) for e, n in zip(ends, lengths)]
+                ids = memoryview(reader.slice(0, reader.n)).cast("B") if reader.n else b""
+                crc = [zlib.crc32(ids[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
     if files.select("part").distinct().count() <= most_broadcast:
