@@ -1,0 +1,143 @@
+"""Fingerprints against plain loops, and near ones against all pairs."""
+
+import hashlib
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from fieldtally.llm import fingerprints as fp
+from tests.conftest import DATA
+
+
+def mix(x):
+    m = (1 << 64) - 1
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & m
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & m
+    return x ^ (x >> 31)
+
+
+def plain(text):
+    """One text of at most a block, bit by bit."""
+    raw = text.encode()
+    if not raw:
+        return "00" * 16
+    raw = bytes(7) + bytes(b + 32 if 65 <= b <= 90 else b for b in raw) + bytes(7)
+    votes, m = [0] * 128, (1 << 64) - 1
+    for term, n in Counter(raw[i : i + 8] for i in range(len(raw) - 7)).items():
+        x = int.from_bytes(term, "little")
+        w = round(8 + 8 * math.log(n))
+        for half, h in enumerate((mix(x + 0x9E3779B97F4A7C15 & m), mix(x ^ 0xD1B54A32D192ED03))):
+            for byte in range(8):
+                for bit in range(8):
+                    votes[64 * half + 8 * byte + bit] += w if h >> (8 * byte + 7 - bit) & 1 else -w
+    return np.packbits(np.array(votes) > 0).tobytes().hex()
+
+
+TEXTS = ["", "a", "Ab c", "ab c", "\0\0", "läßt 漢字", "one two three four " * 40, "x" * 3000]
+
+
+def test_bits():
+    assert [f.tobytes().hex() for f in fp.simhash([t.encode() for t in TEXTS])] == list(map(plain, TEXTS))
+    assert plain("Ab c") == plain("ab c") != plain("ab d")
+
+
+def test_long_texts_add_up(monkeypatch):
+    words = " ".join(str(i * i) for i in range(4000)).encode()
+    whole = fp.simhash([b"before", words, b"after"])
+    monkeypatch.setattr(fp, "_BLOCK", 1000)
+    cut = fp.simhash([b"before", words, b"after"])
+    assert (whole[[0, 2]] == cut[[0, 2]]).all() and fp.likeness(whole, cut)[1] > 0.95
+
+
+def brute(rows):
+    """(doc_id, text) of different ids."""
+    rows = sorted(rows, key=lambda r: -r[0])
+    out = {}
+    for (i, t), (_, u) in zip(rows, rows[1:] + rows[:1]):
+        t, u = t or "", u or ""
+        half = len(t) // 2
+        e = t[: len(t) - half] + u[:half]
+        a, b, c = (np.frombuffer(fp.simhash([x.encode()])[0].tobytes(), np.uint8) for x in (t, e, u))
+        near = [1 - int(np.unpackbits(a ^ x).sum()) / 128 for x in (b, c)]
+        out[i] = (len(t), hashlib.sha256(e.encode()).hexdigest(), a.tobytes().hex(), b.tobytes().hex(), *near)
+    return out
+
+
+def results(df):
+    return {r.doc_id: (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in df.collect()}
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = brute(rows)
+    assert results(fp.compare_with_next(docs.repartition(9))) == want
+    shown = {r.doc_id: r.fingerprint for r in fp.fingerprints(docs).collect()}
+    assert shown == {i: w[2] for i, w in want.items()}
+    apart = [w for w in want.values() if w[2] != w[3] and w[4] != w[5]]
+    assert np.mean([w[4] > w[5] for w in apart]) > 0.9
+
+
+@pytest.mark.parametrize("kind,make", [("int", int), ("string", lambda i: f"{i:03}")])
+def test_odd_rows(spark, kind, make):
+    rows = [(make(i), t) for i, t in enumerate([*TEXTS, None])]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").selectExpr("*", "1 as id", "2 as part", "'x' as role", "0 as n_chars")
+    got = results(fp.compare_with_next(df.repartition(3)))
+    assert got == {make(i): v for i, v in brute([(i, t) for i, (_, t) in enumerate(rows)]).items()}
+    assert results(fp.compare_with_next(df.limit(0))) == {} and fp.fingerprints(df.limit(0)).count() == 0
+
+
+def test_one_row_repeated_rows_and_null_ids(spark):
+    one = spark.createDataFrame([(5, "abcd")], "doc_id long, text string")
+    assert results(fp.compare_with_next(one)) == brute([(5, "abcd")])
+    rows = spark.createDataFrame([(1, "same")] * 40 + [(1, "other"), (None, "none"), (2, "two")], "doc_id long, text string").repartition(8)
+    got = fp.compare_with_next(rows).collect()
+    assert Counter(r.doc_id for r in got) == {1: 41, 2: 1, None: 1}
+    text = {r.doc_id: r for r in got}
+    assert text[None].edited_sha256 == hashlib.sha256(b"notw").hexdigest()  # after the last comes the first
+    assert sum(r.near_next == 1 for r in got) == 39
+
+
+def all_pairs(values, radius):
+    number = [int(v, 16) for v in values]
+    return {(min(a, b), max(a, b), (x ^ y).bit_count()) for i, (a, x) in enumerate(zip(values, number)) for b, y in zip(values[:i], number[:i]) if (x ^ y).bit_count() <= radius}
+
+
+@pytest.mark.parametrize("radius,blocks,tile", [(3, 5, 2048), (3, 5, 8), (6, 8, 16), (0, 1, 4), (2, 3, 10_000)])
+def test_near_fingerprints(spark, radius, blocks, tile):
+    rng = np.random.default_rng(radius)
+    values = []
+    for _ in range(12):
+        centre = int.from_bytes(rng.bytes(16))
+        values += [centre] + [centre ^ sum(1 << int(b) for b in rng.choice(128, rng.integers(1, 7), replace=False)) for _ in range(12)]
+    low = int.from_bytes(rng.bytes(16))
+    values += [low ^ i for i in range(40)]  # one bucket of most tables
+    values = sorted({f"{v:032x}" for v in values})
+    df = spark.createDataFrame([(v,) for v in values + values[:9]] + [(None,)], "fingerprint string").repartition(5)
+    want = all_pairs(values, radius)
+    got = [(r.a, r.b, r.distance) for r in fp.near_pairs(df, radius, blocks, tile).collect()]
+    assert len(got) == len(want) and set(got) == want
+    degree = Counter(x for a, b, _ in want for x in (a, b))
+    assert {r.fingerprint: r.n_near for r in fp.near_counts(df, radius, blocks, tile).collect()} == degree
+    assert fp.near_pairs(df.limit(0), radius, blocks, tile).count() == 0
+
+
+def test_tables():
+    assert len(fp.tables_of(3, 5)) == 10 and len(fp.tables_of(4, 6)) == 15
+    for radius, blocks in ((0, 1), (3, 5), (5, 7)):
+        masks = [int(a) << 64 | int(b) for a, b in fp.tables_of(radius, blocks)]
+        rng = np.random.default_rng(1)
+        for _ in range(200):
+            wrong = sum(1 << int(b) for b in rng.choice(128, radius, replace=False))
+            assert any(not wrong & m for m in masks)
+    with pytest.raises(ValueError):
+        fp.tables_of(3, 3)
+
+
+def test_a_bucket_is_shared_out(spark):
+    many = spark.range(300).select(F.lpad(F.lower(F.hex("id")), 32, "0").alias("fingerprint"))
+    degree = Counter(x for a, b, _ in all_pairs([f"{i:032x}" for i in range(300)], 3) for x in (a, b))
+    assert {r.fingerprint: r.n_near for r in fp.near_counts(many, tile=32).collect()} == degree
