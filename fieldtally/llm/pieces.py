@@ -196,3 +196,37 @@ def load(path: str, kind: str):
         return cutter(definition), PieceCache(encode, join, pattern, fold, never)
 
     return resident(("pieces", path, kind), make)
+
+
+#: Letters that all versions of Unicode know as such: Latin, Greek, Cyrillic, Hebrew, Arabic, kana, Han, Hangul.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſα-ωА-яא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
+_BETWEEN_LETTERS = re.compile(f"(?<=[{_LETTERS}])(?=[{_LETTERS}])")
+
+
+class Seams:
+    """Places within a run of letters that no token of a vocabulary lies across.
+
+    Whatever byte-pair merging joins is a token, so it never joins the two sides
+    of a seam, and both can be encoded apart.  ``tokens`` are the bytes of all
+    tokens, without marks of a word's end.
+    """
+
+    def __init__(self, tokens: Iterable[bytes]):
+        self.tokens = {t for t in tokens if len(t) > 1}
+        self.starts = {t[:i] for t in self.tokens for i in range(1, len(t))}
+        self.longest = max(map(len, self.tokens), default=1)
+
+    def free(self, left: bytes, right: bytes) -> bool:
+        for i in range(1, min(len(left), self.longest - 1) + 1):
+            head = left[-i:]
+            if head in self.starts and any(head + right[:j] in self.tokens for j in range(1, min(len(right), self.longest - i) + 1)):
+                return False
+        return True
+
+    def next(self, text: str, at: int) -> int:
+        """The first seam at or after ``at``; the text's end if there is none."""
+        for m in _BETWEEN_LETTERS.finditer(text, max(at, 1)):
+            p = m.start()
+            if self.free(text[max(0, p - self.longest) : p].encode("utf-8", "replace"), text[p : p + self.longest].encode("utf-8", "replace")):
+                return p
+        return len(text)

@@ -9,9 +9,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, dac, embeddings, fingerprints, media, minhash, packing, quality, token_counts, toxicity, url_filter, whitening
+from . import alignment, bpe, dac, embeddings, fingerprints, media, minhash, packing, quality, token_counts, toxicity, url_filter, whitening
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -76,6 +77,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_documents(spark, sf_dir), BYTE_BPE, PIECE_BPE)
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near``: how many other values among all fingerprints are within 3 bits."""
     compared = fingerprints.compare_with_next(_documents(spark, sf_dir))
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_media": op8_media,
         "op9_embedding_near_dedup": op9_embedding_near_dedup,
         "op10_minhash_near_dedup": op10_minhash_near_dedup,
+        "op11_alignment": op11_alignment,
         "op12_fingerprints": op12_fingerprints,
         "op13_whitening": op13_whitening,
     }
