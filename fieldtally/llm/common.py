@@ -7,6 +7,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import TypeVar
 
 import numpy as np
@@ -36,20 +37,6 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is not None:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def _delete_at_exit(spark: SparkSession, path: str) -> None:
-    try:
-        _delete(spark, path)
-    except Exception:  # the session has ended and its folder may be gone
-        pass
-
-
 class Table:
     """A Parquet table in the shared folder that cuts the lineage of ``df``.
 
@@ -63,15 +50,18 @@ class Table:
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/fieldtally/{name}-{uuid.uuid4().hex}"
         self.schema = df.schema
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        # these outlive the session, so the table can be dropped after it has ended
+        self._delete = partial(place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete, place, True)
+        self.live[self.path] = self  # also if writing fails half-way
         df.write.option("compression", "zstd").parquet(self.path)
-        self.live[self.path] = self
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def drop(self) -> None:
         """Only for tables that no DataFrame still in use reads."""
-        _delete(self.spark, self.path)
+        self._delete()
         self.live.pop(self.path, None)
 
 
@@ -84,8 +74,11 @@ def drop_tables() -> None:
 
 @atexit.register
 def _drop_at_exit() -> None:
-    for table in Table.live.values():
-        _delete_at_exit(table.spark, table.path)
+    for table in list(Table.live.values()):
+        try:
+            table.drop()
+        except Exception:  # Java has ended, or the folder is gone
+            pass
 
 
 T = TypeVar("T")

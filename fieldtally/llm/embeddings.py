@@ -24,8 +24,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from .common import Table
+from .common import Scratch, Table
 from .components import components
 
 
@@ -150,7 +151,7 @@ def _prepare(vectors: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], raw], ["id", "label", "raw"])
 
     rows = vectors.select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("x"))
-    return rows.mapInArrow(run, "id long, label string, raw binary")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, label string, raw binary")
 
 
 def _matrix(raws: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -322,6 +323,7 @@ def near_duplicate_vectors(vectors: DataFrame, settings: Settings = Settings())
     A tile returns a count for each of its rows and one link to the least row
     that it reaches there; pairs are never listed.
 
+    Ids may be of any kind that has an order, and keep it.
     Vectors that are null, empty, zero or hold null or non-finite components,
     and those with a null label, link with nothing; so do vectors of different
     lengths.  Repeated rows count as other vectors.  A null id has a null
@@ -330,11 +332,16 @@ def near_duplicate_vectors(vectors: DataFrame, settings: Settings = Settings())
     s = settings
     rows = Table(_prepare(vectors).withColumns({"k1": F.xxhash64("label", "raw"), "k2": F.xxhash64("raw", F.lit(7), "label")}), "vectors").read()
     usable = rows.where("raw is not null and id is not null")
-    grouped = usable.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("raw").alias("raw"))
+    grouped = usable.groupBy("k1", "k2").agg(F.min("id").alias("least"), F.count("*").alias("times"), F.first("label").alias("label"), F.first("raw").alias("raw"))
+    if isinstance(rows.schema["id"].dataType, IntegralType):
+        grouped = grouped.withColumn("rep", F.col("least").cast("long"))
+    else:  # numbers in the order of the ids
+        grouped = grouped.orderBy("least", "k1", "k2").withColumn("rep", F.monotonically_increasing_id())
     reps = Table(grouped.withColumn("size", F.length("raw")), "classes").read()
     fitted = vectors.sparkSession.sparkContext.broadcast(fit(reps, s))
-    chunks = Table(_chunked(reps, fitted, s), "chunks").read()
-    pairs = Table(chunk_pairs(chunks, s), "chunk-pairs").read()
+    scratch = Scratch()
+    chunks = scratch.hold(_chunked(reps, fitted, s), "chunks")
+    pairs = scratch.hold(chunk_pairs(chunks, s), "chunk-pairs")
     ends = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"))
     tiles = ends.join(chunks.select("chunk", "place", "rep", "times", "raw"), "chunk")
 
@@ -354,10 +361,13 @@ def near_duplicate_vectors(vectors: DataFrame, settings: Settings = Settings())
         return pa.table({"rep": rep[some], "links": links[some], "root": rep[order][least][some]}, schema=pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
     found = Table(tiles.select("a", "b", "chunk", "place", "rep", "times", "raw").groupBy("a", "b").applyInArrow(compare, "rep long, links long, root long"), "links").read()
+    scratch.drop()  # nothing reads the chunks any more
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")
-    classes = reps.select("k1", "k2", "rep", "times").join(counts, "rep", "left").join(joined, "rep", "left")
-    classes = classes.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component"))
+    least = reps.select(F.col("rep").alias("component"), F.col("least").alias("least_of"))
+    of_rep = joined.join(least, "component").select("rep", "least_of")
+    classes = reps.select("k1", "k2", "rep", "least", "times").join(counts, "rep", "left").join(of_rep, "rep", "left")
+    classes = classes.select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("n_links"), F.coalesce("least_of", "least").alias("component"))
     keyed = rows.select("id", F.when(F.col("id").isNotNull() & F.col("raw").isNotNull(), F.col("k1")).alias("k1"), F.col("k2"))
     out = keyed.join(classes, ["k1", "k2"], "left").select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

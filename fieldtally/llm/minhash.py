@@ -60,6 +60,9 @@ def _spread(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
 
 #: Bytes that are hashed at once; longer texts go on from block to block.
 _BLOCK = 1 << 18
+#: Of longer words the polynomial says too little: modulo a power of two, long words that
+#: follow some patterns have equal values whatever its base.
+_LONG_WORD = 64
 _NUMBERS, _SPACE, _POWERS, _INVERSE = _spread(11)
 
 
@@ -68,10 +71,11 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of anything but ASCII white space.  A word's hash is the
     polynomial of its bytes' numbers: the difference of two prefix sums, moved to
-    power 0; so a word has the same hash wherever it stands.
+    power 0; so a word has the same hash wherever it stands.  Words of more than
+    64 bytes are hashed one by one, as a whole.
     """
     data = np.frombuffer(raw, np.uint8)
-    before, after, at = [], [], []
+    before, after, at, to = [], [], [], []
     total, power, inverse, was_space = np.zeros(1, np.uint64), np.uint64(1), np.uint64(1), True
     with np.errstate(over="ignore"):
         for i in range(0, len(data), _BLOCK):
@@ -83,14 +87,26 @@ def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
             before.append(np.stack([sums[starts], _INVERSE[starts] * inverse]))
             after.append(sums[ends])
             at.append(starts + i)
+            to.append(ends + i)
             total, was_space = sums[-1:], bool(space[-1])
             power, inverse = power * _POWERS[len(block)], inverse * _INVERSE[len(block)]
         if not was_space:
             after.append(total)
+            to.append(np.array([len(data)]))
         if not at:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        first = np.concatenate(before, axis=1)
-        return (np.concatenate(after) - first[0]) * first[1], np.concatenate(at)
+        first, starts, ends = np.concatenate(before, axis=1), np.concatenate(at), np.concatenate(to)
+        hashes = (np.concatenate(after) - first[0]) * first[1]
+    for k in np.flatnonzero(ends - starts > _LONG_WORD).tolist():
+        hashes[k] = _long_word(raw, int(starts[k]), int(ends[k]))
+    return hashes, starts
+
+
+def _long_word(raw: bytes, start: int, end: int) -> int:
+    h = xxhash.xxh3_64(seed=1)
+    for i in range(start, end, _BLOCK):
+        h.update(raw[i : min(i + _BLOCK, end)].lower())
+    return h.intdigest()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -177,7 +193,7 @@ def describe(docs: DataFrame, s: Settings, batch_bytes: int = 1 << 20) -> DataFr
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sig, pa.binary())], ["id", "n_shingles", "k1", "k2", "sig"])
 
     rows = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, k1 long, k2 long, sig binary")
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_shingles long, k1 long, k2 long, sig binary")
 
 
 def _keys(reps: DataFrame) -> DataFrame:
@@ -404,6 +420,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     the full sets of all their members.  So every pair within the signature
     distance is decided or lies within a component.
 
+    Ids may be of any kind that has an order, and keep it.
     Empty sets (null, empty or white text) link with nothing.  A null id has a
     null component and is kept.  Rows that share an id are one document: each of
     its texts links with others, and all of them are in one component.  Other

@@ -216,3 +216,33 @@ def test_the_given_vectors_meet_at_most_once(spark, folder, most):
     pairs = sum(sizes[r.a][0] * sizes[r.b][0] if r.a != r.b else sizes[r.a][0] * (sizes[r.a][0] - 1) // 2 for r in met)
     labels = [label for label, _ in raw.values()]
     assert pairs <= most * sum(n * (n - 1) // 2 for n in map(labels.count, set(labels)))
+
+
+@pytest.mark.parametrize("kind,make", [("int", int), ("long", int), ("string", lambda i: f"{i:04}")])
+def test_kinds_of_ids(spark, kind, make):
+    """Results don't depend on the kind, which stays."""
+    texts = {make(k): t for k, t in corpus().items() if k % 3}
+    df = spark.createDataFrame(list(texts.items()), f"doc_id {kind}, text string")
+    want = roots(texts, jaccard_links(texts)[1])
+    got = minhash.near_duplicates(df)
+    assert {r.doc_id: r.component_id for r in got.collect()} == want and got.schema["component_id"].dataType == df.schema["doc_id"].dataType
+    assert {r.doc_id for r in minhash.without_near_duplicates(df).collect()} == {k for k in texts if want[k] == k}
+    rows = [(make(i), x, label) for i, x, label in vectors()]
+    good = [(i, np.array(x, float), label) for i, x, label in rows if x and label is not None and None not in x and np.isfinite(x).all() and any(x)]
+    links = [(i, j) for n, (i, x, k) in enumerate(good) for j, y, m in good[n + 1 :] if k == m and len(x) == len(y) and x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= 0.93]
+    found = embeddings.near_duplicate_vectors(spark.createDataFrame(rows, f"vec_id {kind}, embedding array<double>, label int"), embeddings.Settings(chunk=50))
+    assert {r.vec_id: r.component_id for r in found.collect()} == roots([r[0] for r in rows], links) and found.schema["component_id"].dataType == df.schema["doc_id"].dataType
+
+
+def test_tables_are_dropped(spark, tmp_path):
+    from fieldtally.llm.common import Table, drop_tables
+
+    drop_tables()
+    with pytest.raises(Exception):
+        Table(spark.range(3).select(F.raise_error(F.lit("no")).cast("int").alias("x")), "broken")
+    assert len(Table.live) == 1
+    drop_tables()
+    assert not Table.live
+    embeddings.near_duplicate_vectors(spark.createDataFrame(vectors(), "vec_id long, embedding array<double>, label int")).collect()
+    assert not [p for p in Table.live if "chunk" in p]
+    drop_tables()
