@@ -73,35 +73,30 @@ class Tokenizers:
         self.line = len(self.b.encode("\n")) if not any("\n" in p for p in shown) else None
         self.seams: pieces.Seams | None = None
 
+    def _seams(self) -> pieces.Seams:
+        if self.seams is None:
+            self.seams = pieces.Seams([*self.a_bytes, *self.b_bytes])
+        return self.seams
+
     def pieces(self, text: str) -> list[str]:
-        """What both encode alike in the text and alone; the first begins with the added space."""
-        text = " " + text
+        """What both encode alike in the text, which begins with the added space, and alone."""
         if not self.cuts:
             return [text]
         found = _CUT.split(text)
         if self.line is None or max(map(len, found)) <= _LONG_PIECE:
             return found
-        if self.seams is None:
-            self.seams = pieces.Seams([*self.a_bytes, *self.b_bytes])
-        out = []
-        for p in found:
-            at = 0
-            while len(p) - at > _LONG_PIECE:
-                end = self.seams.next(p, at + _LONG_PIECE)
-                out.append(p[at:end])
-                at = end
-            out += [p[at:]] if at < len(p) else []
-        return out
+        return [part for p in found for part in (self._seams().parts(p, _LONG_PIECE // 2) if len(p) > _LONG_PIECE else [p])]
 
     def windows(self, text: str, most: int = 1 << 21) -> Iterator[str]:
-        """The pieces of a text, about ``most`` characters at a time; ``" "`` is left before the first only."""
+        """A text with its added space, about ``most`` characters at a time."""
         at = 0
         while self.cuts and len(text) - at > most:
-            m = _CUT.search(text, at + most)
-            if m is None:
+            m = _CUT.search(text, at + most, at + 2 * most)
+            end = m.start() if m else self._seams().next(text, at + most) if self.line is not None else len(text)
+            if end >= len(text):
                 break
-            yield text[at : m.start()]
-            at = m.start() + 1
+            yield text[at:end]
+            at = end
         yield text[at:]
 
     def _alone(self, piece: str) -> tuple[list[int], list[int]] | None:
@@ -153,7 +148,7 @@ def load(a_path: str, b_path: str) -> Tokenizers:
 
 
 class Groups:
-    """The groups of some texts: ``keys`` and the ids of both sides of each distinct
+    """The groups of some texts with their added space: ``keys`` and the ids of both sides of each distinct
     group, and for each text the number of times it has each (``owner``, ``group``,
     ``times``); ``said`` has each text's groups in order, as text, None where it has
     no tokens."""
@@ -243,7 +238,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str, text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, described = load(a_path, b_path), set()
         for batch in slices(batches, "text", batch_bytes):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [" " + t if t else "" for t in batch.column(1).to_pylist()]
             n = len(texts)
             if n == 1:  # perhaps a very long one: window by window, and none if one has no tokens
                 found, sha = None, hashlib.sha256()

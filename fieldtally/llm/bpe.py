@@ -49,6 +49,7 @@ class WordBpe:
         self.find = regex.compile(pre[0]["pattern"]["Regex"]).findall
         self.special = {t["content"]: t["id"] for t in definition["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.seams: pieces.Seams | None = None
         self.strings = [""] * (1 + max([*self.vocab.values(), *self.special.values()]))
         for s, i in (self.vocab | self.special).items():
             self.strings[i] = s
@@ -86,12 +87,27 @@ class WordBpe:
             if segment in self.special:
                 ids.append(self.special[segment])
                 continue
-            for match in self.split(segment):
-                symbols = [self.alphabet[b] for b in match.encode("utf-8", "replace")]
-                symbols[-1] += self.end
-                ids += (self.vocab[s] for s in self.merge(symbols) if s in self.vocab)
+            parts = self.parts(segment)
+            for k, part in enumerate(parts, 1):
+                matches = self.split(part)
+                for m, match in enumerate(matches, 1):
+                    symbols = [self.alphabet[b] for b in match.encode("utf-8", "replace")]
+                    if k == len(parts) or m < len(matches):  # else the word goes on
+                        symbols[-1] += self.end
+                    ids += (self.vocab[s] for s in self.merge(symbols) if s in self.vocab)
         return ids
 
+    def parts(self, segment: str) -> list[str]:
+        """A very long segment in parts that end within words, at places that no
+        token lies across; so its symbols are never listed all at once."""
+        if len(segment) <= pieces._LONG:
+            return [segment]
+        if self.seams is None:
+            byte_of = {c: b for b, c in enumerate(self.alphabet)}
+            bare = (t.removesuffix(self.end) for t in self.vocab if t not in self.special)
+            self.seams = pieces.Seams((bytes(map(byte_of.__getitem__, t)) for t in bare if all(c in byte_of for c in t)), str.lower)
+        return self.seams.parts(segment, pieces._LONG // 4)
+
     def split(self, segment: str) -> list[str]:
         """NFC, lower case, then the matches of the pattern.
 
@@ -137,7 +153,7 @@ def bpe_encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, cache = load(tokenizer)
         for run in slices(batches, "text", batch_bytes):
-            ids = [np.frombuffer(raw, "<u4").astype(np.int32) for raw in cache([pieces.words(t) if t else [] for t in run.column(1).to_pylist()])]
+            ids = [np.frombuffer(raw, "<u4").astype(np.int32) for raw in cache.texts(run.column(1).to_pylist(), pieces.words)]
             n = np.array([len(x) for x in ids], np.int64)
             offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             flat = pa.array(np.concatenate(ids) if ids else np.array([], np.int32))
@@ -179,10 +195,13 @@ def bpe_digests(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         bpe, cache = load(tokenizer)
         for run in slices(batches, "text", batch_bytes):
             n, of_ids, of_text = [], [], []
-            for raw in cache([pieces.words(t) if t else [] for t in run.column(1).to_pylist()]):
+            for raw in cache.texts(run.column(1).to_pylist(), pieces.words):
                 n.append(len(raw) // 4)
                 of_ids.append(hashlib.sha256(raw).hexdigest())
-                of_text.append(hashlib.sha256(bpe.decode(np.frombuffer(raw, "<u4").tolist()).encode()).hexdigest())
+                decoded = hashlib.sha256()
+                for i in range(0, len(raw), 1 << 18):  # part by part
+                    decoded.update((" " * (i > 0) + bpe.decode(np.frombuffer(raw[i : i + (1 << 18)], "<u4").tolist())).encode())
+                of_text.append(decoded.hexdigest())
             yield pa.RecordBatch.from_arrays([run.column(0), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = rows.schema["id"].dataType.simpleString()

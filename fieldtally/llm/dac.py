@@ -104,6 +104,13 @@ class Reader:
         return out.astype("<u4")
 
 
+def _crc(reader: Reader, start: int, stop: int, span: int = 1 << 20) -> int:
+    crc = 0
+    for i in range(start, stop, span):
+        crc = zlib.crc32(reader.slice(i, min(i + span, stop)).tobytes(), crc)
+    return crc
+
+
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 20, batch_bytes: int = 1 << 20) -> Table:
     """Encode every text, end it with ``end_id`` and write the ids in ascending
     order of ``id_col``, about ``shard_tokens`` to a file image.
@@ -133,7 +140,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.ListArray.from_arrays(pa.array([0, sum(map(len, ids))], pa.int32()), pa.concat_arrays(ids)), pa.array(lengths, pa.list_(pa.int64())), pa.array([encode(np.frombuffer(b"".join(raws), "<u4"))], pa.binary())], ["part", "shard", "first", "doc_ids", "lengths", "image"])
 
         for run in slices(batches, "text", batch_bytes):
-            new = [r + end for r in cache([cut(t) if t else [] for t in run.column(1).to_pylist()])]
+            new = [r + end for r in cache.texts(run.column(1).to_pylist(), cut)]
             ids.append(run.column(0))
             raws += new
             held += sum(map(len, new)) // 4
@@ -168,8 +175,11 @@ def read_token_files(files: DataFrame, id_col: str = "doc_id", most_broadcast: i
                 start, lengths = batch.column(0)[k].as_py(), np.array(batch.column(2)[k].as_py(), np.int64)
                 reader = Reader(batch.column(3)[k].as_buffer().to_pybytes())
                 ends = np.cumsum(lengths)
-                ids = memoryview(reader.slice(0, reader.n)).cast("B") if reader.n else b""
-                crc = [zlib.crc32(ids[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
+                if reader.n > 1 << 22:  # a very long document: some of it at a time
+                    crc = [_crc(reader, e - n, e) for e, n in zip(ends.tolist(), lengths.tolist())]
+                else:
+                    ids = memoryview(reader.slice(0, reader.n)).cast("B") if reader.n else b""
+                    crc = [zlib.crc32(ids[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), lengths.tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(1)[k].values, pa.array(start + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())], ["id", "start", "n_tokens", "ids_crc32"])
 
     if files.select("part").distinct().count() <= most_broadcast:

@@ -230,7 +230,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_
         part, seen = TaskContext.get().partitionId(), Counter()
         for run in slices(batches, "text", batch_bytes):
             row, piece, start, length, crc, rank = [], [], [], [], [], []
-            for k, raw in enumerate(cache([cut(t) if t else [] for t in run.column(1).to_pylist()])):
+            for k, raw in enumerate(cache.texts(run.column(1).to_pylist(), cut)):
                 raw += end
                 for p, i in enumerate(range(0, len(raw), 4 * capacity)):
                     own = raw[i : i + 4 * capacity]

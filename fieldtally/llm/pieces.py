@@ -68,6 +68,74 @@ def cutter(definition: dict) -> Callable[[str], list[str]]:
     return whole
 
 
+#: Letters that all versions of Unicode know as such: Latin, Greek, Cyrillic, Hebrew, Arabic, kana, Han, Hangul.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ſα-ωА-яא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
+_STOPS = "。、，．！？；：「」『』（）"
+#: Three letters before, so that no contraction ends there.
+_BETWEEN_LETTERS = re.compile(f"(?<=[{_LETTERS}]{{3}})(?=[{_LETTERS}])")
+_AT_STOP = f"(?<=[{_LETTERS}])(?=[{_STOPS}])|(?<=[{_STOPS}])(?=[{_LETTERS}])"
+
+
+class Seams:
+    """Places within a run of letters that no token of a vocabulary lies across.
+
+    Whatever byte-pair merging joins is a token, so it never joins the two sides
+    of a seam, and both can be encoded apart.  ``tokens`` are the bytes of all
+    tokens, without marks of a word's end; ``fold`` is done to texts before.
+    """
+
+    def __init__(self, tokens: Iterable[bytes], fold: Callable[[str], str] = str):
+        self.tokens, self.fold = {t for t in tokens if len(t) > 1}, fold
+        self.starts = {t[:i] for t in self.tokens for i in range(1, len(t))}
+        self.longest = max(map(len, self.tokens), default=1)
+
+    def free(self, left: bytes, right: bytes) -> bool:
+        for i in range(1, min(len(left), self.longest - 1) + 1):
+            head = left[-i:]
+            if head in self.starts and any(head + right[:j] in self.tokens for j in range(1, min(len(right), self.longest - i) + 1)):
+                return False
+        return True
+
+    def next(self, text: str, at: int) -> int:
+        """The first seam at or after ``at``; the text's end if there is none."""
+        for m in _BETWEEN_LETTERS.finditer(text, max(at, 1)):
+            p = m.start()
+            if self.free(*(self.fold(side).encode("utf-8", "replace") for side in (text[max(0, p - self.longest) : p], text[p : p + self.longest]))):
+                return p
+        return len(text)
+
+    def parts(self, text: str, least: int) -> list[str]:
+        """The text cut at seams, ``least`` characters at a time or more."""
+        out, at = [], 0
+        while len(text) - at > 2 * least and (end := self.next(text, at + least)) < len(text):
+            out.append(text[at:end])
+            at = end
+        return [*out, text[at:]]
+
+
+#: Characters that are cut into pieces at once.
+WINDOW = 1 << 18
+_WINDOW_END = {"words": re.compile(f"(?=[{WHITE}])|{_AT_STOP}"), "spaced_words": re.compile(rf"(?<=\S)(?= \S)|{_AT_STOP}")}
+
+
+def windows(text: str, cut: Callable[[str], list[str]], never: tuple[str, ...] = (), most: int = WINDOW) -> Iterable[str]:
+    """The text in parts of about ``most`` characters that a tokenizer encodes alike
+    apart: they end before white space or where letters meet East Asian stops,
+    which are splits of both kinds of tokenizers, and not within ``never``."""
+    ends, at, around = _WINDOW_END.get(cut.__name__), 0, max(map(len, never), default=1)
+    while ends is not None and len(text) - at > most:
+        for m in ends.finditer(text, at + most):
+            p = m.start()
+            beside = text[max(0, p - around + 1) : p + around - 1]
+            if not any(x in beside for x in never):
+                break
+        else:
+            break
+        yield text[at:p]
+        at = p
+    yield text[at:]
+
+
 #: The matches of a pattern within a piece of these characters only; newer parts of Unicode
 #: differ between versions, so other pieces are always encoded whole; so is U+0130, whose lower
 #: case has a mark that isn't a letter.
@@ -79,6 +147,8 @@ _INNER_WHITE = re.compile(r"(?s).\s")
 _ENTRY_BYTES = 160
 #: Longer pieces are rare and are encoded each time.
 _LONGEST_KEPT = 48
+#: Pieces without any place to cut that are encoded part by part, if ``encode_long`` can.
+_LONG = 1 << 14
 
 
 class PieceCache:
@@ -90,11 +160,12 @@ class PieceCache:
     what comes later, and long pieces, are worked out each time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 80 << 20, batch_bytes: int = 1 << 18):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 80 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
         import regex
 
         self.encode, self.join, self.fold, self.never, self.most_bytes, self.batch_bytes = encode, join, fold, never, most_bytes, batch_bytes
         self.find = regex.compile(pattern).findall if pattern else None
+        self.encode_long = encode_long
         self.known: dict = {}
         self.bytes = 0
 
@@ -124,6 +195,9 @@ class PieceCache:
         found: dict = {}
         batch, held = [], 0
         for x in {x for cut in cuts.values() for x in cut if x not in known}:
+            if self.encode_long is not None and len(x) > _LONG:
+                found[x] = self.encode_long(x)
+                continue
             batch.append(x)
             held += len(x)
             if held >= self.batch_bytes:
@@ -148,6 +222,16 @@ class PieceCache:
         return [self.join(values) for values in looked]
 
 
+    def texts(self, texts: list[str | None], cut: Callable[[str], list[str]]) -> list:
+        """The value of each whole text; a long one goes window by window, so that
+        its pieces are never listed all at once."""
+        usual = self([cut(t) if t and len(t) <= WINDOW else [] for t in texts])
+        for k, t in enumerate(texts):
+            if t and len(t) > WINDOW:
+                usual[k] = self.join(self([cut(w)])[0] for w in windows(t, cut, self.never))
+        return usual
+
+
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     out = array("I", ids)
@@ -170,6 +254,36 @@ def pattern_of(definition: dict) -> tuple[str | None, bool]:
     return None, False
 
 
+def _by_parts(definition: dict, path: str, encode: Callable, join: Callable, never: tuple[str, ...], kind: str) -> Callable[[str], object] | None:
+    """How a piece that has no split is encoded in bounded memory."""
+    made: list = []
+    if cutter(definition) is spaced_words:
+
+        def at_seams(piece: str):
+            if not made:
+                from .bpe import byte_alphabet
+
+                byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+                made.append(Seams(bytes(map(byte_of.__getitem__, t)) for t in definition["model"]["vocab"] if all(c in byte_of for c in t)))
+            parts = [piece] if any(x in piece for x in never) else made[0].parts(piece, _LONG // 2)
+            return join(v for i in range(0, len(parts), 16) for v in encode(parts[i : i + 16]))
+
+        return at_seams
+    if cutter(definition) is words:
+
+        def own(piece: str):  # the end of a word has a mark, so its parts need the encoder that knows it
+            if not made:
+                from .bpe import WordBpe
+
+                with open(path, encoding="utf-8") as f:
+                    made.append(WordBpe(f.read()))
+            ids = made[0].word_ids(piece)
+            return len(ids) if kind == "lengths" else id_bytes(ids)
+
+        return own
+    return None
+
+
 def load(path: str, kind: str):
     """(cutter, cache) for a tokenizer file, once for each Python worker.
 
@@ -193,40 +307,8 @@ def load(path: str, kind: str):
         encode, join = {"lengths": (lambda b: map(len, run(b)), sum), "ids": (lambda b: [id_bytes(e.ids) for e in run(b)], b"".join)}[kind]
         pattern, fold = pattern_of(definition)
         never = tuple(t["content"] for t in definition.get("added_tokens") or [])
-        return cutter(definition), PieceCache(encode, join, pattern, fold, never)
+        long = _by_parts(definition, path, encode, join, never, kind)
+        return cutter(definition), PieceCache(encode, join, pattern, fold, never, encode_long=long)
 
     return resident(("pieces", path, kind), make)
 
-
-#: Letters that all versions of Unicode know as such: Latin, Greek, Cyrillic, Hebrew, Arabic, kana, Han, Hangul.
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ſα-ωА-яא-תء-غف-يぁ-ゖァ-ヺ一-龥가-힣"
-_BETWEEN_LETTERS = re.compile(f"(?<=[{_LETTERS}])(?=[{_LETTERS}])")
-
-
-class Seams:
-    """Places within a run of letters that no token of a vocabulary lies across.
-
-    Whatever byte-pair merging joins is a token, so it never joins the two sides
-    of a seam, and both can be encoded apart.  ``tokens`` are the bytes of all
-    tokens, without marks of a word's end.
-    """
-
-    def __init__(self, tokens: Iterable[bytes]):
-        self.tokens = {t for t in tokens if len(t) > 1}
-        self.starts = {t[:i] for t in self.tokens for i in range(1, len(t))}
-        self.longest = max(map(len, self.tokens), default=1)
-
-    def free(self, left: bytes, right: bytes) -> bool:
-        for i in range(1, min(len(left), self.longest - 1) + 1):
-            head = left[-i:]
-            if head in self.starts and any(head + right[:j] in self.tokens for j in range(1, min(len(right), self.longest - i) + 1)):
-                return False
-        return True
-
-    def next(self, text: str, at: int) -> int:
-        """The first seam at or after ``at``; the text's end if there is none."""
-        for m in _BETWEEN_LETTERS.finditer(text, max(at, 1)):
-            p = m.start()
-            if self.free(text[max(0, p - self.longest) : p].encode("utf-8", "replace"), text[p : p + self.longest].encode("utf-8", "replace")):
-                return p
-        return len(text)

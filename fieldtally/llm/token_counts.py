@@ -17,8 +17,8 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     """For each row: ``id_col``, ``n_bytes``, ``n_tokens`` and ``over_limit``.
 
     ``tokenizer`` is the path of a tokenizers JSON file on every worker.  Texts
-    are cut at the tokenizer's own splits (see ``pieces``), so a very long text
-    needs no large encoding; rows are taken in runs of about ``batch_bytes``.
+    are cut at the tokenizer's own splits, a very long one window by window, and a
+    very long run of letters where no token can lie (see ``pieces``); rows are taken in runs of about ``batch_bytes``.
     There is no shuffle.
 
     A null or empty text has 0 bytes and 0 tokens; a null id is kept; repeated
@@ -31,7 +31,7 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, cache = pieces.load(tokenizer, "lengths")
         for run in slices(batches, "text", batch_bytes):
-            n = cache([cut(t) if t else [] for t in run.column(1).to_pylist()])
+            n = cache.texts(run.column(1).to_pylist(), cut)
             size = pc.fill_null(pc.binary_length(run.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([run.column(0), size, pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
 

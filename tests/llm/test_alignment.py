@@ -107,6 +107,7 @@ def test_windows_and_cut_pieces(monkeypatch):
     tok = alignment.Tokenizers(A, B)
     cjk = "漢字混合文章かなカナ" * 40 + "。" + "언어모델" * 60 + "Ελληνικάкириллица" * 50
     for text in (cjk, "a word and more " * 300, "x" * 5000, "abcqxzjkvvw" * 300, " leading  and\n\n trailing \n"):
+        text = " " + text
         whole = alignment.Groups(tok, [text])
         found = None
         for w in tok.windows(text, 500):

@@ -38,4 +38,4 @@ def test_run(spark):
 
 def test_queries_are_registered(spark):
     names = [n.split("_")[0] for n in q.queries()]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
