@@ -34,26 +34,33 @@ def append_to(path: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def merge_into(path: str, keys: Sequence[str], sequence: Sequence[str]) -> Callable[[DataFrame, int], None]:
-    """A sink that keeps the first row of each key: every batch writes the next
-    version of the table, and a batch that is repeated writes the same one.  The
-    version before the last is dropped: a repeated batch needs only the last."""
-    from ..operators.merge import first_seen
+def first_in_stream(events: DataFrame, keys: Sequence[str], at: str, within: str = "2 hours") -> DataFrame:
+    """The first row of each key to arrive, in a stream.
 
-    def sink(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        new = batch if number == 0 else spark.read.parquet(f"{path}/version={number - 1}").unionByName(batch)
-        first_seen(new, keys, sequence).write.mode("overwrite").parquet(f"{path}/version={number}")
-        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number - 2}")
-        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    A key is remembered until the watermark has passed its time by ``within``, so
+    state doesn't grow with the stream; rows later than that are left out, and
+    a key that comes again after it counts as new.  State is part of the stream's
+    checkpoint: a restarted run still knows what earlier ones have seen.
+    """
+    return _timed(events, at).withWatermark(at, within).dropDuplicatesWithinWatermark(list(keys))
 
-    return sink
+
+def _timed(events: DataFrame, at: str) -> DataFrame:
+    """Watermarks need a time with a zone; one without is of the session's."""
+    return events.withColumn(at, F.col(at).cast("timestamp")) if events.schema[at].dataType.typeName() == "timestamp_ntz" else events
 
 
 def windowed_counts(events: DataFrame, at: str, group: Sequence[str], width: str = "1 day", late: str = "2 hours") -> DataFrame:
     """Counts for each window of event time; rows later than ``late`` are left out
     when a stream runs, and state is dropped as the watermark passes."""
-    return events.withWatermark(at, late).groupBy(F.window(at, width).alias("w"), *group).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *group, "n")
+    return _timed(events, at).withWatermark(at, late).groupBy(F.window(at, width).alias("w"), *group).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *group, "n")
+
+
+def session_counts(events: DataFrame, at: str, group: Sequence[str], gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
+    """``group``, ``start``, ``until`` (the last row's time and ``gap``) and ``n`` of each
+    session: rows of a group that follow each other within ``gap``.  In a stream a
+    session is given out once the watermark has passed its end."""
+    return _timed(events, at).withWatermark(at, late).groupBy(F.session_window(at, gap).alias("w"), *group).agg(F.count("*").alias("n")).select(*group, F.col("w.start").alias("start"), F.col("w.end").alias("until"), "n")
 
 
 def is_new(listing: DataFrame, state: DataFrame) -> DataFrame:

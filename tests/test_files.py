@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldtally import schemas
 from fieldtally.sources import readers, writers
-from fieldtally.streaming import incremental
+from fieldtally.streaming import incremental, keyed
 
 
 def test_pages(spark, tmp_path):
@@ -92,12 +92,12 @@ def test_regions_at_the_row_limit(spark):
 def test_a_second_run_finds_nothing(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, seq int")
     df.write.parquet(str(tmp_path / "in"))
-    sink = incremental.merge_into(str(tmp_path / "out"), ["id"], ["seq"])
+    sink = keyed.merge_into(str(tmp_path / "out"), ["id"], ["seq"])
     run = lambda: incremental.run_available(incremental.parquet_stream(spark, str(tmp_path / "in"), df.schema), sink, str(tmp_path / "state"))
     assert (run(), run()) == (2, 0)
     spark.createDataFrame([("a", 0), ("c", 1)], "id string, seq int").write.mode("append").parquet(str(tmp_path / "in"))
     assert run() == 2
-    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out/version=1")).collect()) == [("a", 0), ("b", 2), ("c", 1)]
+    assert sorted(tuple(r) for r in keyed.KeyedTable(spark, str(tmp_path / "out"), ["id"], ["seq"]).read().collect()) == [("a", 0), ("b", 2), ("c", 1)]
 
 
 def test_high_water_mark(spark, tmp_path):
