@@ -60,15 +60,11 @@ def label_value_list(c: Column) -> Column:
     return F.transform(found, one)
 
 
-def currency(c: Column) -> Column:
-    """"Rp 4.100.000" as 4100000; null without digits."""
-    return F.regexp_replace(c, "[^0-9]", "").try_cast("bigint")
-
-
 def amount(c: Column) -> Column:
     """A number, or an amount as people write it ("Rp 4.100.000,50": dots between
-    thousands, decimal comma), as double; null for anything else."""
-    bare = F.regexp_replace(F.trim(c.cast("string")), r"(?i)^rp\.?\s*|,-$", "")
+    thousands, decimal comma; a minus before or after "Rp"), as double; null for
+    anything else."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(c.cast("string")), r"(?i)^(-?)\s*rp\.?\s*", "$1"), ",-$", "")
     written = bare.rlike(r"^-?[1-9][0-9]{0,2}(\.[0-9]{3})+(,[0-9]+)?$|^-?[0-9]+,[0-9]+$")
     text = F.when(written, F.translate(bare, ",.", ".")).otherwise(bare).try_cast("double")
     return F.when(F.typeof(c) == "string", text).otherwise(c.try_cast("double"))

@@ -89,12 +89,11 @@ def check(df: DataFrame, table: str, keys: Sequence[str], rules: Sequence[SumRul
     return df.select(F.lit(table).alias("table_name"), *keys, results).select("table_name", *keys, "r.rule", "r.ok")
 
 
-def currency_sum_rule(df: DataFrame, keys: Sequence[str], total: str, parts: Sequence[str]) -> DataFrame:
-    """A currency text against the sum of its parts, currency texts or numbers."""
-    from ..functions.scalars import currency
-
-    amount = sum((F.coalesce(currency(F.col(c).cast("string")), F.lit(0)) for c in parts), F.lit(0).cast("long"))
-    return df.select(*keys, (currency(F.col(total)) == amount).alias("ok"))
+def currency_sum_rule(df: DataFrame, keys: Sequence[str], total: str, parts: Sequence[str], tolerance: float = 0.005) -> DataFrame:
+    """An amount against the sum of its parts, each a number or a text as people
+    write amounts; a part that is none counts as 0, a total that is none gives null."""
+    whole = sum((F.coalesce(amount(F.col(c)), F.lit(0.0)) for c in parts), F.lit(0.0))
+    return df.select(*keys, (F.abs(amount(F.col(total)) - whole) <= tolerance).alias("ok"))
 
 
 def roster_counts(header: DataFrame, roster: DataFrame, key: str, stated: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import or_default
+from ..sources.shared import written
 from ..statuses import STATUSES, columns
 
 
@@ -42,14 +43,22 @@ def nest(rows: DataFrame, officer: Sequence[str], region: str, status: str, coun
 
 
 def found_statuses(docs: DataFrame) -> list[str]:
-    """All statuses of the documents, the fixed ones first; a distinct list comes back."""
+    """All statuses of the documents, the fixed ones first."""
     seen = docs.select(F.explode("regionSummary").alias("r")).select(F.explode("r.statusBreakdown").alias("s")).select("s.status").where("status is not null and status <> ''").distinct()
-    return columns(r.status for r in seen.collect())
+    return columns(_few(seen))
 
 
 def status_values(rows: DataFrame, column: str) -> list[str]:
     """The same from flat rows, before they are nested."""
-    return columns(r[0] for r in rows.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct().collect())
+    return columns(_few(rows.select(column).where(F.col(column).isNotNull() & (F.col(column) != "")).distinct()))
+
+
+def _few(distinct: DataFrame, most: int = 500) -> list[str]:
+    """Values that become columns; a column of other texts is refused before it fills the driver."""
+    values = [r[0] for r in distinct.limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"more than {most} different statuses")
+    return values
 
 
 def wide(docs: DataFrame, statuses: Sequence[str]) -> DataFrame:
@@ -101,32 +110,41 @@ def unpivot_statuses(grid: DataFrame, ids: Sequence[str], statuses: Sequence[str
     return grid.unpivot(list(ids), list(statuses), "status", "count")
 
 
-def _bounds(df: DataFrame, column: str, ranges: int) -> list:
-    """Values that cut a column into about equal numbers of different values, from a
-    bounded sample by hash."""
-    sample = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(F.xxhash64(column)).limit(16 * ranges)
-    values = [r[0] for r in sample.orderBy(column).collect()]
-    return values[15::16]
-
+def numbered(df: DataFrame, bucket: str, order: Sequence[str], name: str = "no", ranges: int | None = None) -> DataFrame:
+    """1..n in the order of ``bucket`` and then ``order``, which must be total; nulls first.
 
-def numbered(df: DataFrame, bucket: str, order: Sequence[str], name: str = "no", ranges: int = 64) -> DataFrame:
-    """1..n in the order of ``bucket`` and then ``order``, which must be total.
-
-    Rows are numbered within ranges of their bucket, cut by the first column of
-    ``order``, so a bucket that holds most rows is dealt to up to ``ranges``
-    tasks; only the ranges' counts are summed in one task.  ``df`` is read three
-    times: give one that was written.
+    Rows are dealt to ``ranges`` of the whole order (None: as many as shuffles have
+    partitions), so a bucket or a first value that
+    most rows have is shared out too.  Places within a range come from its sorted
+    rows, and only the ranges' counts, a row for each, are summed in one task.  The
+    ranges are written, so ``df`` is worked out once, besides the sample for bounds.
+    """
+    first = [F.col(c).asc_nulls_first() for c in (bucket, *order)]
+    ranges = written(df.repartitionByRange(*([ranges] if ranges else []), *first).sortWithinPartitions(*first).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = ranges.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranges.withColumn("_part", part).join(before, "_part")
+    return placed.withColumn(name, F.col("_at").bitwiseAND((1 << 33) - 1) + F.col("_before") + 1).drop("_part", "_at", "_before")
+
+
+def durations(history: DataFrame, keys: Sequence[str], status: str, at: str, tie: str, until: Column | None = None) -> DataFrame:
+    """How long each entry of a history held: its row, ``ended`` and ``seconds``.
+
+    An entry of some ``keys`` ends when their next one begins, by ``at`` and then
+    ``tie``, which must be total; the last one ends at ``until`` (null: open).
+    Texts that assign work ("ASSIGNED TO: ..") are no status and are left out
+    first, and so are entries without a time.  All entries are put in one order
+    and each is joined with the one after it, so keys of very many entries are
+    shared out like others.
     """
-    first = lambda c: F.col(c).asc_nulls_first()
-    bounds = _bounds(df, order[0], ranges)
-    cell = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order[0]))) if bounds else F.lit(0)
-    rows = df.withColumn("_range", F.when(F.col(order[0]).isNull(), F.lit(-1)).otherwise(cell))
-    counts = rows.groupBy(F.col(bucket).alias("_b"), F.col("_range").alias("_r")).agg(F.count("*").alias("_n"))
-    earlier = Window.orderBy(first("_b"), "_r").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("_b", "_r", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    within = rows.withColumn("_within", F.row_number().over(Window.partitionBy(bucket, "_range").orderBy(*map(first, order))))
-    joined = within.join(before, within[bucket].eqNullSafe(before["_b"]) & (within["_range"] == before["_r"]))
-    return joined.withColumn(name, F.col("_within") + F.col("_before")).drop("_within", "_b", "_r", "_range", "_before")
+    rows = history.where(F.col(at).isNotNull() & ~F.coalesce(F.col(status).startswith("ASSIGNED TO:"), F.lit(False)))
+    ordered = written(numbered(rows.withColumn("_k", F.struct(*keys)), "_k", [at, tie], "_no"), "history")
+    after = ordered.select((F.col("_no") - 1).alias("_no"), F.col("_k").alias("_next"), F.col(at).alias("_began"))
+    joined = ordered.join(after, "_no", "left")
+    ended = F.when(F.col("_k").eqNullSafe(F.col("_next")), F.col("_began")).otherwise(F.lit(None) if until is None else until)
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    return joined.withColumn("ended", ended).withColumn("seconds", (micros(F.col("ended")) - micros(F.col(at))) / 1e6).drop("_k", "_no", "_next", "_began")
 
 
 def percent_done(done: Column, total: Column) -> Column:

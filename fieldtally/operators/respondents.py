@@ -10,7 +10,10 @@ from ..functions.scalars import or_default
 
 def flatten(respondents: DataFrame) -> DataFrame:
     """One flat row for each respondent; empty and null values are shown as "-",
-    the place is level 6 or else level 5."""
+    the place is level 6 or else level 5.  Columns beside the respondents' own, as
+    the region code and the order of arrival, are kept as they are."""
+    own = {"id", "codeIdentity", "assignmentStatusAlias", "currentUserFullname", "currentUserUsername", "latitude", "longitude", "region", *(f"data{i}" for i in range(1, 11))}
+    beside = [F.col(f"`{c}`").alias("kab_code" if c == "kab" else c) for c in respondents.columns if c not in own]
     kec, deep = "region.level1.level2.level3", "region.level1.level2.level3.level4"
     five, six = f"{deep}.level5.name", f"{deep}.level5.level6.name"
     show = lambda c, d="-": or_default(F.col(c).cast("string"), d)
@@ -19,7 +22,7 @@ def flatten(respondents: DataFrame) -> DataFrame:
         show("region.level1.level2.name").alias("kab"), show(f"{kec}.name").alias("kec"), show(f"{deep}.name").alias("desa"), place.alias("place"),
         show("id").alias("id"), show("codeIdentity").alias("code_identity"), show("data1").alias("name"), show("data2").alias("address"), show("data6").alias("kind"),
         show("data9", "Belum diisi").alias("found"), show("assignmentStatusAlias").alias("status"), show("currentUserFullname").alias("officer"), show("currentUserUsername").alias("username"),
-        show("latitude").alias("latitude"), show("longitude").alias("longitude"),
+        show("latitude").alias("latitude"), show("longitude").alias("longitude"), *beside,
     )
 
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..operators.checks import SumRule
 from ..operators.progress import nest
@@ -28,17 +27,12 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 """
 
 TABLES = ["orders", "customer", "nation", "region"]
-_SCHEMAS: dict[str, StructType] = {}
 
 
 def register(spark: SparkSession, sf_dir: str, tables: list[str]) -> None:
-    """The tables as views.  Their schemas are read once in a session, as that is a
-    job for each table; their files are listed each time."""
+    """The tables as views."""
     for t in tables:
-        path = f"{sf_dir}/{t}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = spark.read.parquet(path).schema
-        spark.read.schema(_SCHEMAS[path]).parquet(path).createOrReplaceTempView(t)
+        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,10 +82,12 @@ def business(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the sum as a currency text, dots between thousands."""
+    """With the sum as people write it, dots between thousands and a decimal comma
+    or not; a few aren't amounts."""
     register(spark, sf_dir, ["orders"])
     text = F.concat(F.lit("Rp "), F.translate(F.format_number(F.col("whole"), 0), ",", "."))
-    return spark.sql(PAY).withColumn("nilai_pend_pekerjaan", text)
+    shown = F.when(F.col("assignment_id") % 11 == 0, "unknown").when(F.col("assignment_id") % 4 == 0, F.concat(text, F.lit(",50"))).otherwise(text)
+    return spark.sql(PAY).withColumn("nilai_pend_pekerjaan", shown)
 
 
 def rule_sql(rule) -> str:

@@ -51,7 +51,8 @@ def test_label_value_list(spark, text, out):
 
 
 def test_encoded_values(spark):
-    assert one(spark, "Rp 4.100.000", S.currency) == 4_100_000 and one(spark, "-", S.currency) is None
+    assert one(spark, "Rp 4.100.000", S.amount) == 4_100_000 and one(spark, "-", S.amount) is None
+    assert [one(spark, t, S.amount) for t in ("Rp 4.100.000,50", "-5000", "1000.0", "-Rp 5.000", "Rp -5.000,25", "12 or so")] == [4_100_000.5, -5000, 1000, -5000, -5000.25, None]
     assert one(spark, "[04] NAME", S.bracketed) == {"code": "04", "name": "NAME"}
     assert one(spark, "NAME", S.bracketed) == {"code": None, "name": "NAME"}
     assert one(spark, "a_b_1700000000000", S.composite_id)["id"] == "a_b"
