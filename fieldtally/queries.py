@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -10,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import scalars as S
-from .operators import checks, merge, progress, regions, respondents
-from .plans import analog
-from .sources.readers import run_sql
+from .operators import checks, merge, nesting, progress, regions, respondents
+from .plans import analog, jobs
+from .sources import readers, shared, versions
 from .statuses import STATUSES
-from .streaming import incremental
+from .streaming import incremental, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -205,11 +204,15 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("SELECT o_orderkey, CAST(regexp_replace(concat('Rp ', CAST(floor(o_totalprice / 1000) AS BIGINT), '.', lpad(CAST(CAST(floor(o_totalprice) AS BIGINT) % 1000 AS STRING), 3, '0')), '[^0-9]', '', 'g') AS BIGINT) AS amount FROM orders")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 5 THEN NULL ELSE CASE WHEN o_orderkey % 2 = 1 THEN -1 ELSE 1 END * CAST(CAST(floor(o_totalprice) AS BIGINT) + 1000 + CASE WHEN o_orderkey % 3 = 1 THEN 0.5 ELSE 0 END AS DOUBLE) END AS amount FROM orders")
 def currency_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    whole = F.floor("o_totalprice")
-    text = F.concat(F.lit("Rp "), F.floor(F.col("o_totalprice") / 1000).cast("string"), F.lit("."), F.lpad((whole % 1000).cast("string"), 3, "0"))
-    return _table(spark, sf_dir, "orders").select("o_orderkey", S.currency(text).alias("amount"))
+    """Amounts as people write them: dots between thousands, decimal commas, signs on
+    either side of "Rp", plain numbers, and texts that are none."""
+    whole = "CAST(floor(o_totalprice) AS BIGINT) + 1000"
+    dotted = f"translate(format_number({whole}, 0), ',', '.')"
+    text = f"""CASE o_orderkey % 6 WHEN 0 THEN concat('Rp ', {dotted}) WHEN 1 THEN concat('-Rp', {dotted}, ',50') WHEN 2 THEN concat(' rp. ', {dotted}, ',-')
+      WHEN 3 THEN concat('Rp -', {dotted}) WHEN 4 THEN concat(CAST({whole} AS STRING), '.5') ELSE concat({dotted}, ' or so') END"""
+    return _table(spark, sf_dir, "orders").select("o_orderkey", F.expr(text).alias("t")).select("o_orderkey", S.amount(F.col("t")).alias("amount"))
 
 
 @query("""SELECT p_partkey, concat('A, ', p_brand) AS label, CAST(p_partkey % 10 AS STRING) AS value FROM part UNION ALL SELECT p_partkey, p_type, CAST(p_size AS STRING) FROM part""")
@@ -261,9 +264,9 @@ def questionnaire_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PAY = ("pend_gaji", "tunjangan", "uangmkn", "honor", "lembur", "lainnya")
 
 
-@query(f"WITH pay AS ({analog.PAY}) SELECT assignment_id, {' + '.join(f'coalesce({c}, 0)' for c in _PAY)} = whole AS ok FROM pay")
+@query(f"WITH pay AS ({analog.PAY}) SELECT assignment_id, CASE WHEN assignment_id % 11 <> 0 THEN abs({' + '.join(f'coalesce({c}, 0)' for c in _PAY)} - (whole + CASE WHEN assignment_id % 4 = 0 THEN 0.5 ELSE 0 END)) <= 0.005 END AS ok FROM pay")
 def currency_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pay as a currency text against the sum of its parts."""
+    """Pay as an amount in words of people against the sum of its parts."""
     return checks.currency_sum_rule(analog.pay(spark, sf_dir), ["assignment_id"], "nilai_pend_pekerjaan", _PAY)
 
 
@@ -338,9 +341,7 @@ def target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) >= 12")
 def capped_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions that reach the service's row limit, here of 12."""
-    from .sources.readers import capped_regions as capped
-
-    return capped(_table(spark, sf_dir, "orders"), "o_custkey", 12)
+    return readers.capped_regions(_table(spark, sf_dir, "orders"), "o_custkey", 12)
 
 
 @query("SELECT count(*) AS expected, count(o_custkey) AS succeeded, count(*) - count(o_custkey) AS missing FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) ON o_custkey = c_custkey")
@@ -357,7 +358,7 @@ def kab_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type")
 def kategori_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     _table(spark, sf_dir, "part").createOrReplaceTempView("part")
-    return run_sql(spark, "SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type", limit=None)
+    return readers.run_sql(spark, "SELECT p_type AS kategori, count(*) AS n FROM part GROUP BY p_type", limit=None)
 
 
 @query("SELECT event_type, CAST(date_trunc('day', ts) AS TIMESTAMP) AS start, count(*) AS n FROM events GROUP BY 1, 2")
@@ -368,17 +369,124 @@ def windowed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_type, count(*) AS n, CAST(0 AS BIGINT) AS again FROM events GROUP BY event_type")
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of what one run took in, and the rows of a second run (none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="fieldtally-")
-    base = f"{base}/resume-{uuid.uuid4().hex}"
+    base = shared.new_folder(spark, "resume")
     schema = _table(spark, sf_dir, "events").schema
     runs = [incremental.run_available(incremental.parquet_stream(spark, sf_dir, schema, "events.parquet"), incremental.append_to(f"{base}/out"), f"{base}/state") for _ in range(2)]
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n")).withColumn("again", F.lit(runs[1]).cast("long"))
 
 
+@query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1")
+def keyed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first event of each user, as three batches come, one of them twice."""
+    events = _table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "ts")
+    table = keyed.KeyedTable(spark, shared.new_folder(spark, "keyed"), ["user_id"], ["ts", "event_id"], buckets=16, most_deltas=2)
+    for number in (0, 1, 1, 2):
+        table.merge(events.where(F.col("event_id") % 3 == 2 - number), number)
+    return table.read().select("user_id", "event_id", "event_type")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids that come again in two later batches, one of them after a restart,
+    are there once."""
+    base = shared.new_folder(spark, "first-seen")
+    events = _table(spark, sf_dir, "events")
+    stream = lambda: incremental.first_in_stream(incremental.parquet_stream(spark, f"{base}/in", events.schema), ["event_id"], "ts", "60 days")
+    run = lambda: incremental.run_available(stream(), incremental.append_to(f"{base}/out"), f"{base}/state")
+    for part in (events.where("event_id % 2 = 0"), events.where("event_id % 3 = 0"), events):
+        part.write.mode("append").parquet(f"{base}/in")
+        run()
+    return spark.read.parquet(f"{base}/out").select("event_id", "user_id", "event_type")
+
+
+@query("""WITH e AS (SELECT event_type, user_id, ts, lag(ts) OVER (PARTITION BY event_type, user_id ORDER BY ts) AS before FROM events),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR ts > before + INTERVAL 12 HOUR THEN 1 ELSE 0 END) OVER (PARTITION BY event_type, user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM e)
+SELECT event_type, user_id, min(ts) AS start, max(ts) + INTERVAL 12 HOUR AS until, count(*) AS n FROM s GROUP BY event_type, user_id, session""")
+def session_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of event time."""
+    found = incremental.session_counts(_table(spark, sf_dir, "events"), "ts", ["event_type", "user_id"], "12 hours")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "until")})
+
+
+_PLACES = "SELECT c_custkey, CAST(r_regionkey AS STRING) AS l1, CAST(n_nationkey AS STRING) AS l2, CASE WHEN c_custkey % 31 = 0 THEN NULL ELSE c_mktsegment END AS l3 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
+_CUT = f"""WITH p AS ({_PLACES}), c AS (SELECT *, count(*) OVER (PARTITION BY l1) AS n1, count(*) OVER (PARTITION BY l1, l2) AS n2, count(*) OVER (PARTITION BY l1, l2, l3) AS n3, greatest(2, (SELECT count(*) FROM customer) // 24) AS cap FROM p),
+f AS (SELECT *, CASE WHEN n1 < cap THEN 1 WHEN n2 < cap THEN 2 ELSE 3 END AS level FROM c)"""
+
+
+def _places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    analog.register(spark, sf_dir, ["customer", "nation", "region"])
+    rows = spark.sql(_PLACES)
+    return rows, max(2, _table(spark, sf_dir, "customer").count() // 24)
+
+
+@query(f"{_CUT} SELECT level, l1, CASE WHEN level > 1 THEN l2 END AS l2, CASE WHEN level > 2 THEN l3 END AS l3, count(*) AS n, count(*) >= any_value(cap) AS over FROM f GROUP BY ALL")
+def region_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coarsest regions that the service's row limit lets through."""
+    rows, cap = _places(spark, sf_dir)
+    return regions.frontier(rows, ["l1", "l2", "l3"], cap)
+
+
+@query(f"{_CUT} SELECT c_custkey, level AS region_level, CASE level WHEN 1 THEN n1 WHEN 2 THEN n2 ELSE n3 END AS region_n FROM f")
+def rows_by_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row is in one of these regions."""
+    rows, cap = _places(spark, sf_dir)
+    return regions.by_frontier(rows, ["l1", "l2", "l3"], cap).select("c_custkey", "region_level", "region_n")
+
+
+@query("""WITH old AS (SELECT o_orderkey, o_totalprice, nullif(o_custkey % 5, 0) AS x FROM orders WHERE o_orderkey % 7 <> 0),
+new AS (SELECT o_orderkey, o_totalprice + CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS o_totalprice, CASE WHEN o_orderkey % 4 > 0 THEN nullif(o_custkey % 5, 0) END AS x FROM orders WHERE o_orderkey % 5 <> 0)
+SELECT * FROM (SELECT coalesce(o.o_orderkey, n.o_orderkey) AS o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'added' WHEN n.o_orderkey IS NULL THEN 'removed'
+  WHEN o.o_totalprice <> n.o_totalprice OR o.x IS DISTINCT FROM n.x THEN 'changed' END AS change FROM old o FULL JOIN new n ON o.o_orderkey = n.o_orderkey) WHERE change IS NOT NULL""")
+def snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What changed between two written versions."""
+    orders = _table(spark, sf_dir, "orders")
+    table = versions.Snapshots(spark, shared.new_folder(spark, "snapshots"))
+    first = table.write(orders.where("o_orderkey % 7 <> 0").selectExpr("o_orderkey", "o_totalprice", "nullif(o_custkey % 5, 0) AS x"))
+    second = table.write(orders.where("o_orderkey % 5 <> 0").selectExpr("o_orderkey", "o_totalprice + if(o_orderkey % 3 = 0, 1, 0) AS o_totalprice", "if(o_orderkey % 4 > 0, nullif(o_custkey % 5, 0), null) AS x"))
+    return table.changes(first, second, ["o_orderkey"])
+
+
+@query("""SELECT event_id, user_id, event_type, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS ended,
+  (epoch_us(coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '2024-02-01')) - epoch_us(ts)) / 1e6 AS seconds FROM events WHERE event_type <> 'error'""")
+def status_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """2.6: how long each status held, open ones until a given time."""
+    events = _table(spark, sf_dir, "events").withColumn("status", F.when(F.col("event_type") == "error", F.concat(F.lit("ASSIGNED TO: "), F.col("user_id"))).otherwise(F.col("event_type")))
+    end = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    found = progress.durations(events, ["user_id"], "status", "ts", "event_id", end)
+    return found.select("event_id", "user_id", "event_type", F.when(F.col("ended") != end, F.col("ended")).alias("ended"), "seconds")
+
+
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber % 3 AS index1, count(*) AS n, min(l_quantity) AS least FROM lineitem GROUP BY 1, 2)
+SELECT o_orderkey AS assignment_id, o_orderstatus AS status, coalesce(count(b.n), 0) AS n_businesses, CAST(coalesce(sum(b.n), 0) AS BIGINT) AS n_branches,
+  coalesce(string_agg(b.index1 || ':' || b.n || ':' || CAST(b.least AS INTEGER), ',' ORDER BY b.index1), '') AS shape
+FROM orders LEFT JOIN b ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderstatus""")
+def nested_repeaters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms with their businesses and their branches, from tables that lie
+    side by side; here each form's tree is shown as text."""
+    lines = _table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS assignment_id", "cast(l_linenumber % 3 AS string) AS index1", "l_linenumber AS index2", "l_quantity")
+    frames = {"forms": _table(spark, sf_dir, "orders").selectExpr("o_orderkey AS assignment_id", "o_orderstatus AS status"), "businesses": lines.select("assignment_id", "index1").distinct(), "branches": lines}
+    base, name = shared.new_folder(spark, "nested"), f"fieldtally_{uuid.uuid4().hex}"
+    tables = [nesting.colocate(df, f"{name}_{k}", ["assignment_id"], 8, f"{base}/{k}") for k, df in frames.items()]
+    found = nesting.nested(*tables)
+    shape = F.transform("businesses", lambda b: F.concat_ws(":", b["index1"], F.size(b["branches"]), F.array_min(F.transform(b["branches"], lambda x: x["l_quantity"])).cast("int")))
+    count = F.aggregate("businesses", F.lit(0).cast("long"), lambda n, b: n + F.size(b["branches"]))
+    return found.select("assignment_id", "status", F.size("businesses").cast("long").alias("n_businesses"), count.alias("n_branches"), F.concat_ws(",", shape).alias("shape"))
+
+
+@query(f"""{_WITH}, changed AS (SELECT level_2_name, level_6_full_code, current_user_username, current_user_survey_role_name, assignment_id, level_2_full_code,
+  CASE WHEN level_2_full_code LIKE '61%' THEN 'DRAFT' ELSE assignment_status_alias END AS s FROM assignment WHERE level_6_full_code IS NOT NULL)
+SELECT substr(level_6_full_code, 1, 4) AS level_2_full_code, level_6_full_code AS region_code, coalesce(current_user_username, '-') AS username, coalesce(current_user_survey_role_name, 'Pencacah') AS role, count(assignment_id) AS total, count(CASE WHEN s = 'DRAFT' THEN 1 END) AS draft, count(CASE WHEN s = 'OPEN' THEN 1 END) AS open
+FROM changed GROUP BY level_2_name, level_6_full_code, current_user_username, current_user_survey_role_name""")
+def sync_two_provinces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: fresh counts of one province's kabs, and those of the same number in others
+    stay."""
+    path, rows = shared.new_folder(spark, "counts"), analog.assignments(spark, sf_dir)
+    jobs.sync_assignments(rows, [], path)
+    fresh = rows.where("level_2_full_code LIKE '61%'").withColumn("assignment_status_alias", F.lit("DRAFT"))
+    jobs.sync_assignments(fresh, S.code_list(",".join(f"{i}" for i in range(25))), path)
+    return readers.counts(spark, path).select("level_2_full_code", "region_code", "username", "role", "total", F.col("DRAFT").alias("draft"), F.col("OPEN").alias("open"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -13,25 +13,64 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..statuses import STATUSES
+
+
+def _json(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Whole-file JSON with ``unreadable`` (the text of a file that isn't JSON, as one
+    that was cut off) and ``source_file``.
+
+    Folders named ``kab=04`` and ``region_code=6104..`` below ``path`` are columns, and
+    filters on them skip the other folders; without such folders they are null.
+    """
+    schema = f"{schema}, unreadable string, kab string, region_code string"
+    rows = spark.read.schema(schema).option("multiLine", True).option("columnNameOfCorruptRecord", "unreadable").json(path)
+    return rows.withColumn("source_file", F.col("_metadata.file_path"))
+
+
+def pages(spark: SparkSession, path: str, kabs: Sequence[str] = ()) -> DataFrame:
+    """Landed pages as they are, readable or not; of these kabs only, if any are given."""
+    found = _json(spark, path, schemas.PAGE)
+    return found.where(F.col("kab").isin(*kabs)) if kabs else found
+
+
+def quarantine(landed: DataFrame) -> DataFrame:
+    """``source_file``, ``kab`` and ``reason`` of the pages that can't be used: those
+    that aren't JSON, and those by which the service reported a failure."""
+    reason = F.when(F.col("unreadable").isNotNull(), F.concat(F.lit("not JSON, "), F.length("unreadable"), F.lit(" characters"))).when(~F.coalesce("success", F.lit(False)), F.concat(F.lit("refused: "), F.coalesce("message", F.lit("without a message"))))
+    return landed.select("source_file", "kab", reason.alias("reason")).where("reason is not null")
+
+
+def page_documents(landed: DataFrame) -> DataFrame:
+    """The documents of the pages that can be used, with their kab and file."""
+    good = landed.where("unreadable is null and success")
+    return good.select(F.explode("data.content").alias("d"), "kab", "source_file").select("d.*", "kab", "source_file")
 
 
 def progress_pages(spark: SparkSession, path: str, kab_code: str | None = None, kab_name: str | None = None) -> DataFrame:
     """The documents of landed pages, with the file each came from.
 
-    Pages that didn't succeed, or have no content, add nothing.
+    Pages that can't be read, didn't succeed or have no content add nothing; see
+    ``quarantine``.
     """
-    pages = spark.read.schema(schemas.PAGE).option("multiLine", True).json(path)
-    docs = pages.where("success").select(F.explode("data.content").alias("d"), F.col("_metadata.file_path").alias("source_file")).select("d.*", "source_file")
+    docs = page_documents(pages(spark, path)).drop("kab")
     if kab_code is not None:
         docs = docs.withColumns({"_kabKotaCode": F.lit(kab_code), "_kabKotaName": F.lit(kab_name)})
     return docs
 
 
+def completeness_of(landed: DataFrame) -> DataFrame:
+    """For each folder: its ``kab``, how many elements its pages announce and hold,
+    how many are missing, and how many pages can't be used."""
+    good = F.col("unreadable").isNull() & F.coalesce("success", F.lit(False))
+    rows = landed.select(F.regexp_replace("source_file", "/[^/]*$", "").alias("folder"), "kab", F.when(good, F.col("data.totalElements")).alias("total"), F.when(good, F.coalesce(F.size("data.content"), F.lit(0))).alias("n"))
+    sums = rows.groupBy("folder", "kab").agg(F.max("total").alias("expected"), F.coalesce(F.sum("n"), F.lit(0)).alias("received"), F.count_if(F.col("n").isNull()).alias("unusable"))
+    return sums.withColumn("missing", F.col("expected") - F.col("received"))
+
+
 def page_completeness(spark: SparkSession, path: str) -> DataFrame:
     """How many elements the pages announce and how many they hold, per folder."""
-    pages = spark.read.schema(schemas.PAGE).option("multiLine", True).json(path)
-    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
-    return pages.select(folder.alias("folder"), F.col("data.totalElements").alias("total"), F.coalesce(F.size("data.content"), F.lit(0)).alias("n")).groupBy("folder").agg(F.max("total").alias("expected"), F.sum("n").alias("received"))
+    return completeness_of(pages(spark, path))
 
 
 def snapshot(spark: SparkSession, path: str) -> DataFrame:
@@ -40,7 +79,12 @@ def snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def respondents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RESPONDENT).option("multiLine", True).json(path)
+    """Landed respondents, with ``kab`` and ``region_code`` from the names of their
+    folders, and their place in the order of arrival: ``arrived`` (the file's time),
+    ``source_file`` and ``position`` within it.  Files that aren't JSON add nothing."""
+    rows = _json(spark, path, schemas.RESPONDENT)
+    placed = rows.withColumns({"arrived": F.col("_metadata.file_modification_time"), "position": F.monotonically_increasing_id()})
+    return placed.where("unreadable is null").drop("unreadable")
 
 
 def region_level(spark: SparkSession, path: str) -> DataFrame:
@@ -81,10 +125,26 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def finished(spark: SparkSession, path: str) -> DataFrame:
-    """The region codes of a resume list, a JSON object with either of its two keys
-    (``completedRegions``, ``completed``)."""
-    lists = spark.read.schema("completedRegions array<string>, completed array<string>").option("multiLine", True).json(path)
-    return lists.select(F.explode(F.coalesce("completedRegions", "completed")).alias("code")).distinct()
+    """The region codes of a resume list: JSON objects with the key that is written
+    now or the one of earlier lists; an object with neither is an error."""
+    now, before = RESUME_KEYS
+    if not exists(spark, path):
+        return spark.createDataFrame([], "code string")
+    lists = spark.read.schema(f"{now} array<string>, {before} array<string>").option("multiLine", True).json(path)
+    codes = F.coalesce(now, before)
+    checked = F.when(codes.isNull(), F.raise_error(F.lit(f"a resume list has neither {now} nor {before}"))).otherwise(codes)
+    return lists.select(F.explode(checked).alias("code")).distinct()
+
+
+def counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts that ``jobs.sync_assignments`` keeps; codes stay text."""
+    fixed = "kab_name string, region_code string, username string, email string, role string, total long, kab string"
+    statuses = ", ".join(f"`{s}` long" for s in STATUSES)
+    return spark.read.schema(f"{fixed}, {statuses}, level_2_full_code string").parquet(path)
+
+
+# The keys of a resume list, the one that is written and an earlier one.
+RESUME_KEYS = ("completedRegionFullCodes", "completedSlsCodes")
 
 
 def capped_regions(respondents: DataFrame, region: str, cap: int = 1000) -> DataFrame:
@@ -207,7 +267,6 @@ def workbook_documents(rows: DataFrame) -> DataFrame:
     or a region decides, and totals of officers are unknown."""
     from ..functions.scalars import kab_of, leading_int, unquoted
     from ..operators.merge import first_seen
-    from ..statuses import STATUSES
 
     clean = rows.where(F.trim(F.coalesce("username", F.lit(""))) != "").withColumns({
         "username": F.trim("username"),

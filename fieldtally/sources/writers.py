@@ -10,6 +10,9 @@ from xml.sax.saxutils import escape
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .readers import RESUME_KEYS
+from .shared import Folder
+
 
 def write_snapshot(df: DataFrame, root: str, version: str) -> str:
     """A new ``version=`` folder; earlier ones stay as backups.  An empty result
@@ -29,6 +32,25 @@ def expired(files: DataFrame, keep: int = 30) -> DataFrame:
     return files.join(retained(files, keep).select("path"), "path", "left_anti")
 
 
+def retire(spark: SparkSession, root: str, keep: int = 30, prefix: str = "version=") -> list[str]:
+    """Delete all but the newest ``keep`` of the folders or files of ``root`` whose
+    names begin with ``prefix``; names order them, as those of versions do.  Each
+    kind is counted by itself, so call it once for each."""
+    folder = Folder(spark, root)
+    old = [n for n in folder.names() if n.startswith(prefix)][:-keep or None]
+    for name in old:
+        folder.delete(name)
+    return old
+
+
+def add_finished(codes: DataFrame, path: str, at_once: int = 10_000) -> None:
+    """Append region codes to a resume list; lists of up to about ``at_once`` codes,
+    so a long one is no single row."""
+    code = codes.columns[0]
+    lists = codes.select(F.col(code).alias("code"), F.pmod(F.xxhash64(code), F.lit(1 + codes.count() // at_once)).alias("part"))
+    lists.where("code is not null").groupBy("part").agg(F.array_sort(F.collect_set("code")).alias(RESUME_KEYS[0])).drop("part").write.mode("append").option("maxRecordsPerFile", 1).json(path)
+
+
 def write_mark(marks: DataFrame, path: str) -> None:
     """Append what has been processed: ``last_processed`` (a time) or ``key``."""
     marks.write.mode("append").json(path)
@@ -85,6 +107,12 @@ def workbook(sheets: dict[str, DataFrame], most: int = 100_000) -> bytes:
     return out.getvalue()
 
 
+def write_workbook(sheets: dict[str, DataFrame], path: str, most: int = 100_000) -> None:
+    """``workbook`` as a file of any file system."""
+    spark, (folder, _, name) = next(iter(sheets.values())).sparkSession, path.rpartition("/")
+    Folder(spark, folder).write_bytes(name, workbook(sheets, most), replace=True)
+
+
 def json_rows(df: DataFrame, n: int = 1000) -> list[str]:
     """Up to ``n`` rows as JSON texts, for a command's output."""
     return [r.row for r in df.select(F.to_json(F.struct("*")).alias("row")).take(n)]
@@ -92,4 +120,10 @@ def json_rows(df: DataFrame, n: int = 1000) -> list[str]:
 
 def log_line(spark: SparkSession, path: str, level: str, text: str) -> None:
     """Append one line to a log table."""
-    spark.range(1).select(F.current_timestamp().alias("at"), F.lit(level).alias("level"), F.lit(text).alias("text")).write.mode("append").json(path)
+    log_lines(spark, path, level, [text])
+
+
+def log_lines(spark: SparkSession, path: str, level: str, texts: Sequence[str]) -> None:
+    """Append the lines of one run, as one file."""
+    lines = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    lines.select(F.current_timestamp().alias("at"), F.lit(level).alias("level"), "text").write.mode("append").json(path)

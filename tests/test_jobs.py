@@ -47,7 +47,7 @@ def test_respondents_regions_and_sql(spark, tmp_path, capsys):
     (tmp_path / "r.json").write_text(json.dumps([{"id": "1", "codeIdentity": "b"}, {"id": "1", "codeIdentity": "a"}, {"id": "2"}]))
     command.main(["respondents", str(tmp_path / "r.json"), str(tmp_path / "flat")])
     flat = spark.read.option("header", True).csv(str(tmp_path / "flat"))
-    assert {(r.id, r.code_identity) for r in flat.collect()} == {("1", "a"), ("2", "-")}
+    assert {(r.id, r.code_identity) for r in flat.collect()} == {("1", "b"), ("2", "-")}  # the first that arrived
     parent = None
     for i in range(3, 7):
         (tmp_path / f"level{i}").mkdir()
@@ -81,7 +81,7 @@ def test_sqllab_and_resume_commands(spark, tmp_path):
     command.main(["sync-sqllab", str(tmp_path / "a"), str(tmp_path / "g"), "--kab", "5"])
     assert [r.region_code for r in spark.read.parquet(str(tmp_path / "g")).collect()] == ["6105000000000001"]
     regions = spark.createDataFrame([("2",), ("1",), ("3",)], "fullCode string")
-    for key in ("completedRegions", "completed"):
+    for key in ("completedRegionFullCodes", "completedSlsCodes"):
         (tmp_path / f"{key}.json").write_text(json.dumps({key: ["3"]}))
         assert [r.fullCode for r in jobs.remaining_regions(spark, regions, str(tmp_path / f"{key}.json")).collect()] == ["1", "2"]
     assert jobs.remaining_regions(spark, regions, None).count() == 3
