@@ -14,6 +14,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ from .common import Table, resident, slices
 #: Before a single space between two other characters; both tokenizers keep that space with what follows.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _CHUNK = 1 << 16
+#: Pieces that are encoded in one text.
+_PIECES = 1 << 13
+#: Pieces of up to so many characters are remembered, so many of them at the most.
+_USUAL, _REMEMBERED = 48, 300_000
 #: Longer pieces are cut at seams.
 _LONG_PIECE = 1 << 15
 #: Groups that a task remembers to have described; beyond that it may describe some again.
@@ -72,6 +77,7 @@ class Tokenizers:
         self.cuts = pieces.cutter(definition) is pieces.spaced_words and not any(re.search("[^▁]▁", p) for p in shown)
         self.line = len(self.b.encode("\n")) if not any("\n" in p for p in shown) else None
         self.seams: pieces.Seams | None = None
+        self.forget()
 
     def _seams(self) -> pieces.Seams:
         if self.seams is None:
@@ -106,41 +112,105 @@ class Tokenizers:
         same = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
         return (a, b) if same else None
 
-    def encode(self, distinct: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """The ids of each piece; None where the tokens don't give its bytes."""
-        out: list = [None] * len(distinct)
-        chunk: list[int] = []
-        chunks, held = [chunk], 0
-        alone = []
-        for i, p in enumerate(distinct):
-            if not self.cuts or not p.startswith(" ") or p[-1:].isspace() or held + len(p) > 4 * _CHUNK:
-                alone.append(i)
-                continue
-            chunk.append(i)
-            held += len(p)
-            if held >= _CHUNK:
-                chunk, held = [], 0
-                chunks.append(chunk)
-        for chunk in filter(None, chunks):
-            text = "".join(distinct[i] for i in chunk)
-            raw = text.encode("utf-8", "replace")
-            a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[1:])
-            ends = np.cumsum([len(distinct[i].encode("utf-8", "replace")) for i in chunk])
-            edges = []
-            for ids, lengths, of in ((a, self.a_len, self.a_bytes), (b, self.b_len, self.b_bytes)):
-                at = np.cumsum(lengths[ids])
-                where = np.searchsorted(at, ends)
-                if at[-1] != len(raw) or (at[where] != ends).any() or b"".join(map(of.__getitem__, ids)) != raw:
-                    break
-                edges.append([0, *(where + 1).tolist()])
-            if len(edges) < 2:
+    def _chunk(self, chunk: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """The ids of A and B of pieces that follow each other, and how many each has;
+        None if they don't give the pieces' bytes."""
+        text = "".join(chunk)
+        raw = text.encode("utf-8", "replace")
+        ends = np.cumsum(list(map(len, chunk)) if len(raw) == len(text) else [len(p.encode("utf-8", "replace")) for p in chunk])
+        out = []
+        for found, lengths, of in ((self.a.encode(text, add_special_tokens=False).ids, self.a_len, self.a_bytes), (self.b.encode(text[1:]), self.b_len, self.b_bytes)):
+            ids = np.array(found, np.int64)
+            at = np.cumsum(lengths[ids])
+            where = np.searchsorted(at, ends)
+            if at[-1] != len(raw) or (at[where] != ends).any() or b"".join(map(of.__getitem__, found)) != raw:
+                return None
+            out += [ids, np.diff(where, prepend=-1)]
+        return tuple(out)
+
+    def encode(self, distinct: list[str]) -> tuple[list[str], list[np.ndarray], list[str]]:
+        """The pieces in an order of their own, the ids of A, how many each piece has,
+        the same of B; and the pieces whose tokens don't give their bytes."""
+        fit = [p for p in distinct if self.cuts and p[0] == " " and len(p) < _CHUNK and not p[-1].isspace()]
+        alone = [p for p in distinct if not (self.cuts and p[0] == " " and len(p) < _CHUNK and not p[-1].isspace())]
+        order: list[str] = []
+        found: list[tuple] = []
+        for i in range(0, len(fit), _PIECES):
+            chunk = fit[i : i + _PIECES]
+            made = self._chunk(chunk)
+            if made is None:
                 alone += chunk
-                continue
-            for k, i in enumerate(chunk):
-                out[i] = a[edges[0][k] : edges[0][k + 1]], b[edges[1][k] : edges[1][k + 1]]
-        for i in alone:
-            out[i] = self._alone(distinct[i])
-        return out
+            else:
+                order += chunk
+                found.append(made)
+        bad = []
+        for p in alone:
+            made = self._alone(p)
+            if made is None:
+                bad.append(p)
+            else:
+                order.append(p)
+                found.append((*(x for ids in made for x in (np.array(ids, np.int64), np.array([len(ids)]))),))
+        return order, [np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in range(4)], bad
+
+    def forget(self) -> None:
+        """Pieces have numbers, in the order of ``names``: their groups are ``flat``
+        between ``starts``, as text ``texts``.  Groups have numbers too."""
+        self.number: dict[str, int] = {}
+        self.names: list[str] = []
+        self.texts: list[str] = []
+        self.good, self.starts, self.flat = np.zeros(0, bool), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.group: dict[int, int] = {}
+        self.sides: list[tuple[list[int], list[int]]] = []
+        self.said: list[str] = []
+        self.keys = np.zeros(0, np.int64)
+
+    def learn(self, distinct: list[str]) -> None:
+        """Number these pieces and their groups."""
+        order, (a, n_a, b, n_b), bad = self.encode(distinct)
+        ids = (a, b)
+        ends = [np.cumsum(lengths[x]) for x, lengths in zip(ids, (self.a_len, self.b_len))]
+        common = np.intersect1d(*ends, assume_unique=True)  # the end of each group
+        edges = [np.concatenate([[0], np.searchsorted(e, common) + 1]) for e in ends]
+        with np.errstate(over="ignore"):  # a group's key: its ids with their places in it
+            sums = []
+            for k in (0, 1):
+                place = np.arange(len(ids[k])) - np.repeat(edges[k][:-1], np.diff(edges[k]))
+                each = _mix(_mix(ids[k].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15 + k)) + place.astype(np.uint64))
+                sums.append(np.add.reduceat(each, edges[k][:-1]) if len(common) else np.zeros(0, np.uint64))
+            keys = _mix(sums[0] + _mix(sums[1] + np.diff(edges[0]).astype(np.uint64))).view(np.int64)
+        own, first, of = np.unique(keys, return_index=True, return_inverse=True)
+        for key, i in zip(own.tolist(), first.tolist()):
+            g = self.group.get(key)
+            if g is None:
+                g = self.group[key] = len(self.sides)
+                side = tuple(x[e[i] : e[i + 1]].tolist() for x, e in zip(ids, edges))
+                self.sides.append(side)
+                self.said.append(f"{','.join(map(str, side[0]))}|{','.join(map(str, side[1]))}")
+        numbers = np.array([self.group[k] for k in own.tolist()], np.int64)
+        self.keys = np.concatenate([self.keys, np.zeros(len(self.sides) - len(self.keys), np.int64)])
+        self.keys[numbers] = own
+        flat = numbers[of] if len(own) else np.zeros(0, np.int64)
+        # a piece's groups are those that end within its bytes
+        piece = np.searchsorted(common, np.concatenate([[0], ends[0]])[np.cumsum(n_a)], "right")
+        at, said = [0, *piece.tolist()], list(map(self.said.__getitem__, flat.tolist()))
+        self.texts += [";".join(said[i:j]) for i, j in zip(at, at[1:])] + [""] * len(bad)
+        base = len(self.names)
+        self.names += order + bad
+        self.number.update(zip(self.names[base:], range(base, len(self.names))))
+        self.good = np.concatenate([self.good, np.ones(len(order), bool), np.zeros(len(bad), bool)])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + piece, np.full(len(bad), self.starts[-1] + len(flat))])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def trim(self, pieces: int, groups: int) -> None:
+        """Forget what was numbered after these."""
+        for p in self.names[pieces:]:
+            del self.number[p]
+        for k in self.keys[groups:].tolist():
+            del self.group[k]
+        del self.names[pieces:], self.texts[pieces:], self.sides[groups:], self.said[groups:]
+        self.good, self.starts, self.keys = self.good[:pieces], self.starts[: pieces + 1], self.keys[:groups]
+        self.flat = self.flat[: self.starts[-1]]
 
 
 def load(a_path: str, b_path: str) -> Tokenizers:
@@ -148,48 +218,38 @@ def load(a_path: str, b_path: str) -> Tokenizers:
 
 
 class Groups:
-    """The groups of some texts with their added space: ``keys`` and the ids of both sides of each distinct
-    group, and for each text the number of times it has each (``owner``, ``group``,
-    ``times``); ``said`` has each text's groups in order, as text, None where it has
-    no tokens."""
+    """The groups of some texts with their added space: ``keys`` and the ids of both
+    sides of each distinct group, and for each text the number of times it has each
+    (``owner``, ``group``, ``times``); ``said`` has each text's groups in order, as
+    text, None where it has no tokens.
+
+    A worker remembers the groups of usual pieces, a bounded number of them; what
+    is longer or comes later is worked out each time.
+    """
 
     def __init__(self, tok: Tokenizers, texts: list[str]):
-        number: dict[str, int] = {}
         split = [tok.pieces(t) if t and "▁" not in t else [] for t in texts]
-        which = [[number.setdefault(p, len(number)) for p in ps] for ps in split]
-        encoded = tok.encode(list(number))
-        good = np.array([e is not None for e in encoded], bool)
-        which = [w if all(good[w]) else [] for w in which]
-        done = [e or ([], []) for e in encoded]
-        ids = [np.array([i for e in done for i in e[k]], np.int64) for k in (0, 1)]
-        ends = [np.cumsum(lengths[x]) for x, lengths in zip(ids, (tok.a_len, tok.b_len))]
-        common = np.intersect1d(*ends, assume_unique=True)  # the end of each group
-        edges = [np.concatenate([[0], np.searchsorted(e, common) + 1]) for e in ends]
-        # a group's key: its ids with their places in it
-        with np.errstate(over="ignore"):
-            sums = []
-            for k in (0, 1):
-                place = np.arange(len(ids[k])) - np.repeat(edges[k][:-1], np.diff(edges[k]))
-                each = _mix(_mix(ids[k].astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15 + k)) + place.astype(np.uint64))
-                sums.append(np.add.reduceat(each, edges[k][:-1]) if len(common) else np.zeros(0, np.uint64))
-            keys = _mix(sums[0] + _mix(sums[1] + np.diff(edges[0]).astype(np.uint64))).view(np.int64)
-        self.keys, first, group_of = np.unique(keys, return_index=True, return_inverse=True)
-        flat = [x.tolist() for x in ids]
-        self.sides = [(flat[0][a:b], flat[1][c:d]) for a, b, c, d in zip(edges[0][first].tolist(), edges[0][first + 1].tolist(), edges[1][first].tolist(), edges[1][first + 1].tolist())]
-        self.text = [f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in self.sides]
-        # groups of each piece: those that end within its bytes
-        last = np.cumsum([len(e[0]) for e in done], dtype=np.int64)
-        piece = np.concatenate([[0], np.searchsorted(common, np.concatenate([[0], ends[0]])[last], "right")])
-        of_group, at = group_of.tolist(), piece.tolist()
-        piece_text = [";".join([self.text[g] for g in of_group[i:j]]) for i, j in zip(at, at[1:])]
-        self.said = [";".join(map(piece_text.__getitem__, w)) if w else None for w in which]
+        new = [p for p in dict.fromkeys(chain.from_iterable(split)) if p not in tok.number]
+        kept = len(tok.names), len(tok.keys)
+        tok.learn([p for p in new if len(p) <= _USUAL])
+        if len(tok.names) <= _REMEMBERED and len(tok.keys) <= _REMEMBERED:
+            kept = len(tok.names), len(tok.keys)
+        tok.learn([p for p in new if len(p) > _USUAL])
+        which = [list(map(tok.number.__getitem__, ps)) for ps in split]
+        if not tok.good.all():
+            which = [w if tok.good[w].all() else [] for w in which]
+        self.said = [";".join(map(tok.texts.__getitem__, w)) if w else None for w in which]
         length = np.array(list(map(len, which)), np.int64)
-        every = np.array([i for w in which for i in w], np.int64)
-        counts = np.diff(piece)[every]
-        occurrences = group_of[_gather(piece[every], counts)] if len(every) else np.zeros(0, np.int64)
+        every = np.array(list(chain.from_iterable(which)), np.int64)
+        counts = np.diff(tok.starts)[every]
+        occurrences = tok.flat[_gather(tok.starts[every], counts)]
         owner = np.repeat(np.repeat(np.arange(len(texts)), length), counts)
-        code, self.times = np.unique(owner * max(1, len(self.keys)) + occurrences, return_counts=True)
-        self.owner, self.group = np.divmod(code, max(1, len(self.keys)))
+        code, self.times = np.unique(owner * max(1, len(tok.keys)) + occurrences, return_counts=True)
+        self.owner, group = np.divmod(code, max(1, len(tok.keys)))
+        distinct, self.group = np.unique(group, return_inverse=True)
+        self.keys, found = tok.keys[distinct], distinct.tolist()
+        self.sides, self.text = [tok.sides[g] for g in found], [tok.said[g] for g in found]
+        tok.trim(*kept)
 
 
 def _together(x: Groups, y: Groups) -> Groups:

@@ -117,12 +117,29 @@ def test_windows_and_cut_pieces(monkeypatch):
         cut = alignment.Groups(tok, [text])
         monkeypatch.undo()
         for x in (found, cut):
-            assert x.keys.tolist() == whole.keys.tolist() and x.text == whole.text and x.times.tolist() == whole.times.tolist()
+            assert sorted(zip(x.keys[x.group].tolist(), x.times.tolist())) == sorted(zip(whole.keys[whole.group].tolist(), whole.times.tolist())) and sorted(x.text) == sorted(whole.text)
         assert cut.said == whole.said
     monkeypatch.setattr(alignment, "_LONG_PIECE", 64)
     assert len(tok.pieces(cjk)) > 10
 
 
+def test_what_is_remembered_changes_nothing(monkeypatch):
+    texts = [" " + t if t else "" for t in ODD[1:]]
+    want = alignment.Groups(alignment.Tokenizers(A, B), texts)
+    monkeypatch.setattr(alignment, "_PIECES", 3)
+    for most, usual in ((0, 48), (20, 4), (10**6, 48)):
+        monkeypatch.setattr(alignment, "_REMEMBERED", most)
+        monkeypatch.setattr(alignment, "_USUAL", usual)
+        tok = alignment.Tokenizers(A, B)
+        for part in (texts[:9], texts, texts[::-1], texts):
+            got = alignment.Groups(tok, part)
+            assert len(tok.number) == len(tok.names) == len(tok.texts) == len(tok.good) == len(tok.starts) - 1 and len(tok.flat) == tok.starts[-1]
+            assert len(tok.group) == len(tok.sides) == len(tok.said) == len(tok.keys)
+        assert got.said == want.said
+        seen = lambda g: sorted(zip(g.owner.tolist(), g.keys[g.group].tolist(), g.times.tolist()))
+        assert seen(got) == seen(want) and dict(zip(got.keys.tolist(), got.text)) == dict(zip(want.keys.tolist(), want.text))
+
+
 def test_pairs_are_counted_in_slices(monkeypatch):
     import numpy as np
 
