@@ -33,13 +33,14 @@ from .components import components
 @dataclass(frozen=True)
 class Settings:
     """Linked from a cosine of ``least`` on.  ``blocks`` subspaces; a task compares
-    at most two chunks of ``chunk`` vectors.  The rotation and ``centres`` to sort
+    the chunks of ``chunk`` vectors of at most two bands of ``band`` chunks.  The rotation and ``centres`` to sort
     by are fitted on about ``fit_rows`` vectors, chosen by a hash; they decide how
     much is compared, not what is found.  Boxes of one label meet in ``salts`` tasks."""
 
     least: float = 0.93
     blocks: int = 4
     chunk: int = 4096
+    band: int = 8
     fit_rows: int = 4096
     centres: int = 256
     salts: int = 16
@@ -313,14 +314,26 @@ def compare_tile(times: np.ndarray, x: np.ndarray, y: np.ndarray, first: int, gr
     return links, _least_of_component(len(x), np.concatenate(a_all), np.concatenate(b_all))[rank]
 
 
+def _bands(pairs: DataFrame, chunks: DataFrame, s: Settings) -> DataFrame:
+    """The rows that each pair of bands needs (``band_a``, ``band_b``): a chunk comes
+    there once, however many others it meets, and its first row has the list of
+    chunks that meet (``band`` squared at the most)."""
+    band = lambda c: F.floor(F.col(c) / s.band).alias(f"band_{c}")
+    met = pairs.select(band("a"), band("b"), "a", "b").groupBy("band_a", "band_b").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("met"))
+    needed = F.array_distinct(F.flatten(F.transform("met", lambda p: F.array(p["a"], p["b"]))))
+    rows = met.select("band_a", "band_b", "met", F.explode(needed).alias("chunk")).join(chunks.select("chunk", "place", "rep", "times", "raw"), "chunk")
+    return rows.withColumn("met", F.when(F.col("place") == 0, F.col("met")))
+
+
 def near_duplicate_vectors(vectors: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """For each row of ``vectors`` (``vec_id``, ``embedding``, ``label``):
     ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
     Equal vectors of one label are one representative with a count.
     Representatives are sorted and cut into chunks (see above), so no label,
-    however large, comes to one task; two chunks meet in a task of bounded size.
-    A tile returns a count for each of its rows and one link to the least row
+    however large, comes to one task; chunks meet in tasks of bounded size, and
+    neighbouring chunks go to a task together to meet all those of another band
+    there.  A tile returns a count for each of its rows and one link to the least row
     that it reaches there; pairs are never listed.
 
     Ids may be of any kind that has an order, and keep it.
@@ -342,25 +355,31 @@ def near_duplicate_vectors(vectors: DataFrame, settings: Settings = Settings())
     scratch = Scratch()
     chunks = scratch.hold(_chunked(reps, fitted, s), "chunks")
     pairs = scratch.hold(chunk_pairs(chunks, s), "chunk-pairs")
-    ends = pairs.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"))
-    tiles = ends.join(chunks.select("chunk", "place", "rep", "times", "raw"), "chunk")
-
     def compare(table: pa.Table) -> pa.Table:
-        a, b = table["a"][0].as_py(), table["b"][0].as_py()
         table = table.sort_by([("chunk", "ascending"), ("place", "ascending")])
-        rep, times, chunk = (table[c].to_numpy() for c in ("rep", "times", "chunk"))
-        x = _matrix(table["raw"])
-        x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
-        order = np.argsort(rep, kind="stable")
-        rank = np.empty(len(rep), np.int64)
-        rank[order] = np.arange(len(rep))
-        y = rotated(x, fitted.value.rotations, s)
-        group = order_code(y, fitted.value.centres.get(x.shape[1])) >> 16
-        links, least = compare_tile(times, x, y, len(rep) if a == b else int((chunk == a).sum()), group, rank, s)
-        some = links > 0
-        return pa.table({"rep": rep[some], "links": links[some], "root": rep[order][least][some]}, schema=pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
-
-    found = Table(tiles.select("a", "b", "chunk", "place", "rep", "times", "raw").groupBy("a", "b").applyInArrow(compare, "rep long, links long, root long"), "links").read()
+        chunk = table["chunk"].to_numpy()
+        starts = np.flatnonzero(np.diff(chunk, prepend=-1)).tolist()
+        made, met, out = {}, table["met"][0].as_py(), []
+        for i, j in zip(starts, [*starts[1:], len(chunk)]):
+            x = _matrix(table["raw"].slice(i, j - i))
+            x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+            y = rotated(x, fitted.value.rotations, s)
+            group = order_code(y, fitted.value.centres.get(x.shape[1])) >> 16
+            made[int(chunk[i])] = table["rep"].slice(i, j - i).to_numpy(), table["times"].slice(i, j - i).to_numpy(), x, y, group
+        for p in met:
+            parts = [made[p["a"]]] if p["a"] == p["b"] else [made[p["a"]], made[p["b"]]]
+            rep, times, x, y, group = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(rep, kind="stable")
+            rank = np.empty(len(rep), np.int64)
+            rank[order] = np.arange(len(rep))
+            links, least = compare_tile(times, x, y, len(parts[0][0]), group, rank, s)
+            some = links > 0
+            out.append((rep[some], links[some], rep[order][least][some]))
+        columns = [np.concatenate(c) for c in zip(*out)]
+        return pa.table(dict(zip(("rep", "links", "root"), columns)), schema=pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
+
+    tiles = _bands(pairs, chunks, s).select("band_a", "band_b", "chunk", "place", "rep", "times", "raw", "met")
+    found = Table(tiles.groupBy("band_a", "band_b").applyInArrow(compare, "rep long, links long, root long"), "links").read()
     scratch.drop()  # nothing reads the chunks any more
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "rep")

@@ -234,6 +234,19 @@ def test_kinds_of_ids(spark, kind, make):
     assert {r.vec_id: r.component_id for r in found.collect()} == roots([r[0] for r in rows], links) and found.schema["component_id"].dataType == df.schema["doc_id"].dataType
 
 
+def test_a_band_is_sent_once_to_each_other_band(spark):
+    """All chunks meet: rows are sent for each pair of bands, not of chunks."""
+    s = embeddings.Settings(chunk=10, band=4)
+    n = 16
+    chunks = spark.range(n * 10).select(F.floor(F.col("id") / 10).alias("chunk"), (F.col("id") % 10).alias("place"), F.col("id").alias("rep"), F.lit(1).alias("times"), F.lit(b"x").alias("raw"))
+    pairs = spark.createDataFrame([(a, b) for a in range(n) for b in range(a, n)], "a long, b long")
+    rows = embeddings._bands(pairs, chunks, s)
+    bands = n // 4
+    assert rows.count() == 10 * 4 * bands * bands < 10 * n * n / 2  # by pairs of chunks: 10 * n * n
+    met = [tuple(p) for r in rows.where("met is not null and chunk = band_a * 4").select("met").collect() for p in r.met]
+    assert sorted(met) == sorted((a, b) for a in range(n) for b in range(a, n))
+
+
 def test_tables_are_dropped(spark, tmp_path):
     from fieldtally.llm.common import Table, drop_tables
 
