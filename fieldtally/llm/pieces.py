@@ -14,6 +14,7 @@ import re
 import sys
 from array import array
 from collections.abc import Callable, Iterable
+import numpy as np
 
 from .common import resident
 
@@ -143,6 +144,37 @@ _KNOWN = re.compile("[\x00-\u012f\u0131-\u017f]*")
 _INNER_WHITE = re.compile(r"(?s).\s")
 
 
+def _kinds() -> np.ndarray:
+    """Of the characters below U+0180: 0 marks, 1 letters and digits, 2 comma and stop,
+    3 white space, 4 what plain words can't hold."""
+    kinds = np.zeros(0x180, np.uint8)
+    for c in map(chr, range(0x180)):
+        kinds[ord(c)] = 4 if _SEPARATORS.match(c) or c == "\u0130" else 3 if c.isspace() else 1 if re.match("[a-z0-9à-öø-ſ]", c.lower()) else 2 if c in ",." else 0
+    return kinds
+
+
+_KINDS = _kinds()
+
+
+def plain_words(text: str, never: tuple[str, ...]) -> list[str] | None:
+    """``words`` of usual texts in lower case, with commas and stops apart, so that far
+    fewer are different; None for others.  Only for tokenizers that fold case and
+    split letters from marks; a comma or stop after another mark is in one match
+    with it."""
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+    if units.max() >= len(_KINDS):
+        return None
+    kinds = _KINDS[units]
+    if kinds.max() == 4 or ((kinds[1:] == 2) & (kinds[:-1] & 1 == 0)).any():
+        return None
+    low = text.lower()
+    if ("|" in low or any("|" not in x for x in never)) and any(x in low for x in never):
+        return None
+    for mark in ",.":
+        low = low.replace(f"{mark} ", f" {mark} ").replace(f"{mark}\n", f" {mark} ")
+    return low.split()
+
+
 #: Rough bytes of a remembered entry besides its text and value.
 _ENTRY_BYTES = 160
 #: Longer pieces are rare and are encoded each time.
@@ -160,7 +192,7 @@ class PieceCache:
     what comes later, and long pieces, are worked out each time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 80 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 160 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
         import regex
 
         self.encode, self.join, self.fold, self.never, self.most_bytes, self.batch_bytes = encode, join, fold, never, most_bytes, batch_bytes
@@ -171,6 +203,8 @@ class PieceCache:
 
     def _cut(self, piece: str) -> list[str]:
         if self.find is not None:
+            if piece.isalpha() and piece.isascii():
+                return [piece.lower() if self.fold else piece]
             # the usual pieces: letters, perhaps after a space or before one mark
             start = piece.startswith(" ")
             mark = piece[-1:] in {",", "."}
@@ -189,12 +223,19 @@ class PieceCache:
             self.known.update(kept)
             self.bytes += sum(_ENTRY_BYTES + len(x) + (len(v) if isinstance(v, bytes) else 0) for x, v in kept.items())
 
+    def _single(self, piece: str) -> bool:
+        """Whether a piece is a run of letters that is encoded as it is."""
+        letters = piece if self.fold or piece[:1] != " " else piece[1:]
+        return self.find is not None and letters.isalpha() and (letters.isascii() or _KNOWN.fullmatch(letters) is not None) and (not self.fold or letters.islower())
+
     def _learn(self, new: set[str]) -> dict:
         known = self.known
-        cuts = {p: self._cut(p) for p in new}
+        usual = {p for p in new if p.isalpha() and p.isascii() and p.islower()} if self.fold and self.find is not None else set()
+        single = usual.union(filter(self._single, new.difference(usual)))
+        cuts = {p: self._cut(p) for p in new.difference(single)}
         found: dict = {}
         batch, held = [], 0
-        for x in {x for cut in cuts.values() for x in cut if x not in known}:
+        for x in single.union(x for cut in cuts.values() for x in cut if x not in known):
             if self.encode_long is not None and len(x) > _LONG:
                 found[x] = self.encode_long(x)
                 continue
@@ -208,24 +249,23 @@ class PieceCache:
         values = {p: self.join([known[x] if x in known else found[x] for x in cut]) for p, cut in cuts.items()}
         self._keep(found)
         self._keep({p: v for p, v in values.items() if p not in found})
-        return values
+        return found | values
 
     def __call__(self, texts: list[list[str]]) -> list:
         """The joined value of each text, which is given as its pieces."""
-        get = self.known.get
-        looked = [list(map(get, pieces)) for pieces in texts]
-        gaps = [k for k, values in enumerate(looked) if None in values]
-        if gaps:
-            new = self._learn({p for k in gaps for p, v in zip(texts[k], looked[k]) if v is None})
-            for k in gaps:
-                looked[k] = [new[p] if v is None else v for p, v in zip(texts[k], looked[k])]
-        return [self.join(values) for values in looked]
+        # the different pieces of these texts are few, so their own table is quicker to look up
+        distinct = set().union(*texts)
+        own = dict(zip(distinct, map(self.known.get, distinct)))
+        new = {p for p, v in own.items() if v is None}
+        if new:
+            own.update(self._learn(new))
+        return [self.join(map(own.__getitem__, pieces)) for pieces in texts]
 
 
     def texts(self, texts: list[str | None], cut: Callable[[str], list[str]]) -> list:
         """The value of each whole text; a long one goes window by window, so that
         its pieces are never listed all at once."""
-        usual = self([cut(t) if t and len(t) <= WINDOW else [] for t in texts])
+        usual = self([(plain_words(t, self.never) if cut is words and self.fold else None) or cut(t) if t and len(t) <= WINDOW else [] for t in texts])
         for k, t in enumerate(texts):
             if t and len(t) > WINDOW:
                 usual[k] = self.join(self([cut(w)])[0] for w in windows(t, cut, self.never))
@@ -254,6 +294,37 @@ def pattern_of(definition: dict) -> tuple[str | None, bool]:
     return None, False
 
 
+def _words_in_one(tok, definition: dict, encode: Callable, kind: str) -> Callable[[list[str]], list]:
+    """Encode many words in one text: every word's last token has the mark of an end.
+
+    A text with another number of ends than words is encoded word by word; so are
+    pieces of other characters, which may be several words.
+    """
+    vocab, end = tok.get_vocab(with_added_tokens=True), definition["model"]["end_of_word_suffix"]
+    ends = np.zeros(1 + max(vocab.values()), bool)
+    ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
+
+    def run(batch: list[str]) -> list:
+        single, found = [x for x in batch if x.isalpha()], {}
+        if len(single) > 1:
+            ids = np.array(tok.encode(" ".join(single), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(ends[ids]) + 1
+            if len(at) == len(single) and at[-1] == len(ids):
+                if kind == "ids":
+                    raw, at = ids.tobytes(), (4 * at).tolist()
+                    values = [raw[a:b] for a, b in zip([0, *at], at)]
+                else:
+                    values = np.diff(at, prepend=0).tolist()
+                if len(single) == len(batch):
+                    return values
+                found = dict(zip(single, values))
+        rest = [x for x in batch if x not in found]
+        found.update(zip(rest, encode(rest)) if rest else ())
+        return [found[x] for x in batch]
+
+    return run
+
+
 def _by_parts(definition: dict, path: str, encode: Callable, join: Callable, never: tuple[str, ...], kind: str) -> Callable[[str], object] | None:
     """How a piece that has no split is encoded in bounded memory."""
     made: list = []
@@ -305,6 +376,8 @@ def load(path: str, kind: str):
             return tok.encode_batch_fast(batch, add_special_tokens=False)
 
         encode, join = {"lengths": (lambda b: map(len, run(b)), sum), "ids": (lambda b: [id_bytes(e.ids) for e in run(b)], b"".join)}[kind]
+        if cutter(definition) is words and definition["model"].get("end_of_word_suffix"):
+            encode = _words_in_one(tok, definition, encode, kind)
         pattern, fold = pattern_of(definition)
         never = tuple(t["content"] for t in definition.get("added_tokens") or [])
         long = _by_parts(definition, path, encode, join, never, kind)

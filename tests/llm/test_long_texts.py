@@ -119,3 +119,16 @@ def test_different_long_words_link_nothing(spark):
     rows = [(1, a), (2, b), (3, f"{a} one two three four five six"), (4, f"{b} one two three four five six"), (5, a)]
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_usual_texts_with_marks_apart():
+    never = ("<|startoftext|>", "<|endoftext|>")
+    assert pieces.plain_words("The cat, the Été. end.\nNew, line.", never) == ["the", "cat", ",", "the", "été", ".", "end", ".", "new", ",", "line."]
+    for odd in ("a\", b", "x!, y", "a.. b", "a,. ", "x\x1cy", "漢", "I <|endoftext|> b", "_, a", "a <|ENDOFTEXT|>", "ß«. a"):
+        assert pieces.plain_words(odd, never) is None or odd.isascii() is False
+    tok = Tokenizer.from_file(WORD)
+    tok.no_truncation()
+    cut, cache = pieces.load(WORD, "ids")
+    texts_ = ["The cat, the Été. end.\nNew, line.", "12, 3. 4,5 6.7", "don't, it's. we'll,", "a\", b !, c. \", d", "ª, º. µ, ß. ÷, ×. «, ». a", "tab,\tend.\r\nx,\xa0y.\x85z", "a_, b_. _", "<|endoftext|>, a <|ENDOFTEXT|>. b", "x , y . z", ", . ,. .,", "İstanbul, İ. i̇"]
+    for _ in range(2):  # new and remembered
+        assert cache.texts(texts_, cut) == [pieces.id_bytes(tok.encode(t, add_special_tokens=False).ids) for t in texts_]

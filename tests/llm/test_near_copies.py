@@ -218,7 +218,7 @@ def test_the_given_vectors_meet_at_most_once(spark, folder, most):
     assert pairs <= most * sum(n * (n - 1) // 2 for n in map(labels.count, set(labels)))
 
 
-@pytest.mark.parametrize("kind,make", [("int", int), ("long", int), ("string", lambda i: f"{i:04}")])
+@pytest.mark.parametrize("kind,make", [("int", int), ("string", lambda i: f"{i:04}")])
 def test_kinds_of_ids(spark, kind, make):
     """Results don't depend on the kind, which stays."""
     texts = {make(k): t for k, t in corpus().items() if k % 3}

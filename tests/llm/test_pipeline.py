@@ -39,3 +39,40 @@ def test_run(spark):
 def test_queries_are_registered(spark):
     names = [n.split("_")[0] for n in q.queries()]
     assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
+
+
+def test_run_against_plain_python(spark, tmp_path):
+    """The near-duplicate and packing stages after the classifiers' own decisions, by
+    plain loops over a small corpus."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from fieldtally.llm import quality, toxicity
+    from tests.llm.test_near_copies import corpus, jaccard_links, roots
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    rows = [tuple(r) for r in docs.collect()]
+    rows += [(10**6 + k, t, "en", f"s{k % 3}", len(t or "")) for k, t in corpus().items() if k % 2 or k > 199]
+    folder = tmp_path / "sf"
+    spark.createDataFrame(rows, docs.schema).repartition(3).write.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    every = spark.read.parquet(f"{folder}/documents.parquet")
+    good = {r.doc_id for r in quality.quality_scores(every, labels).where("quality.predicted = 1").select("row.doc_id").collect()}
+    kept = every.where(every.doc_id.isin(list(good)))
+    fine = {r.doc_id for r in toxicity.toxicity_scores(kept, labels).where("toxicity.predicted = 0").select("row.doc_id").collect()}
+    texts = {r[0]: r[1] for r in rows if r[0] in fine}
+    root = roots(texts, jaccard_links(texts)[1])
+    left = sorted(k for k in texts if root[k] == k)
+    assert 20 < len(left) < len(texts) < len(rows)
+    tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tok.no_truncation()
+    tok.no_padding()
+    want = {k: len(tok.encode(texts[k] or "", add_special_tokens=False).ids) + 1 for k in left}
+    got = corpus_pipeline.run(spark, str(folder)).collect()
+    check_packing(got, 4096)
+    sizes: dict[int, int] = {}
+    for r in got:
+        sizes[r.doc_id] = sizes.get(r.doc_id, 0) + r.length
+    assert sizes == want
+    assert len({r.sequence_id for r in got}) <= -(-sum(want.values()) // 4096) + 1
