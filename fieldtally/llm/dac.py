@@ -111,7 +111,7 @@ def _crc(reader: Reader, start: int, stop: int, span: int = 1 << 20) -> int:
     return crc
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 20, batch_bytes: int = 1 << 20) -> Table:
+def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = 1 << 20, batch_bytes: int = 1 << 22) -> Table:
     """Encode every text, end it with ``end_id`` and write the ids in ascending
     order of ``id_col``, about ``shard_tokens`` to a file image.
 
