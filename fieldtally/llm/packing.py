@@ -205,7 +205,7 @@ def plan(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
     return dict(zip(("length", "rank", "copies", "sequence", "offset"), table.T))
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 22) -> DataFrame:
     """Pack all texts into sequences of at most ``capacity`` tokens.
 
     A document is its ids and ``end_id``; only longer ones are cut, into pieces
