@@ -192,7 +192,7 @@ class PieceCache:
     what comes later, and long pieces, are worked out each time.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 160 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 112 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
         import regex
 
         self.encode, self.join, self.fold, self.never, self.most_bytes, self.batch_bytes = encode, join, fold, never, most_bytes, batch_bytes
@@ -307,7 +307,7 @@ def _words_in_one(tok, definition: dict, encode: Callable, kind: str) -> Callabl
     def run(batch: list[str]) -> list:
         single, found = [x for x in batch if x.isalpha()], {}
         if len(single) > 1:
-            ids = np.array(tok.encode(" ".join(single), add_special_tokens=False).ids, "<u4")
+            ids = np.array(tok.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ends[ids]) + 1
             if len(at) == len(single) and at[-1] == len(ids):
                 if kind == "ids":
