@@ -119,7 +119,7 @@ class Tokenizers:
         raw = text.encode("utf-8", "replace")
         ends = np.cumsum(list(map(len, chunk)) if len(raw) == len(text) else [len(p.encode("utf-8", "replace")) for p in chunk])
         out = []
-        for found, lengths, of in ((self.a.encode(text, add_special_tokens=False).ids, self.a_len, self.a_bytes), (self.b.encode(text[1:]), self.b_len, self.b_bytes)):
+        for found, lengths, of in ((self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.a_len, self.a_bytes), (self.b.encode(text[1:]), self.b_len, self.b_bytes)):
             ids = np.array(found, np.int64)
             at = np.cumsum(lengths[ids])
             where = np.searchsorted(at, ends)
