@@ -12,9 +12,14 @@ import json
 import os
 import re
 import sys
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterable
+from itertools import chain, pairwise
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import resident
 
@@ -141,6 +146,11 @@ def windows(text: str, cut: Callable[[str], list[str]], never: tuple[str, ...] =
 #: differ between versions, so other pieces are always encoded whole; so is U+0130, whose lower
 #: case has a mark that isn't a letter.
 _KNOWN = re.compile("[\x00-\u012f\u0131-\u017f]*")
+#: Of the lower-case letters below U+0180 those that have no other form; nor has a text of
+#: them and single spaces.
+_LOW = f"a-z{''.join(c for c in map(chr, range(0x80, 0x180)) if c.isalpha() and c.islower() and unicodedata.category(c) == 'Ll' and unicodedata.normalize('NFC', c.lower()) == c)}"
+_LOW_WORD = re.compile(f"[{_LOW}]+")
+_LOW_WORDS = re.compile(f"[{_LOW} ]+")
 _INNER_WHITE = re.compile(r"(?s).\s")
 
 
@@ -149,22 +159,25 @@ def _kinds() -> np.ndarray:
     3 white space, 4 what plain words can't hold."""
     kinds = np.zeros(0x180, np.uint8)
     for c in map(chr, range(0x180)):
-        kinds[ord(c)] = 4 if _SEPARATORS.match(c) or c == "\u0130" else 3 if c.isspace() else 1 if re.match("[a-z0-9à-öø-ſ]", c.lower()) else 2 if c in ",." else 0
+        kinds[ord(c)] = 4 if _SEPARATORS.match(c) or c == "\u0130" else 3 if c.isspace() else 1 if re.match("[a-z0-9ß-öø-ſ]", c.lower()) else 2 if c in ",." else 0
     return kinds
 
 
 _KINDS = _kinds()
 
 
-def plain_words(text: str, never: tuple[str, ...]) -> list[str] | None:
-    """``words`` of usual texts in lower case, with commas and stops apart, so that far
-    fewer are different; None for others.  Only for tokenizers that fold case and
+def plain_text(text: str, never: tuple[str, ...]) -> str | None:
+    """Usual texts in lower case, with white space around commas and stops, so that far
+    fewer words are different; None for others.  Only for tokenizers that fold case and
     split letters from marks; a comma or stop after another mark is in one match
     with it."""
-    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
-    if units.max() >= len(_KINDS):
-        return None
-    kinds = _KINDS[units]
+    if text.isascii():
+        kinds = _KINDS[np.frombuffer(text.encode(), np.uint8)]
+    else:
+        units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), np.uint16)
+        if units.max() >= len(_KINDS):
+            return None
+        kinds = _KINDS[units]
     if kinds.max() == 4 or ((kinds[1:] == 2) & (kinds[:-1] & 1 == 0)).any():
         return None
     low = text.lower()
@@ -172,7 +185,13 @@ def plain_words(text: str, never: tuple[str, ...]) -> list[str] | None:
         return None
     for mark in ",.":
         low = low.replace(f"{mark} ", f" {mark} ").replace(f"{mark}\n", f" {mark} ")
-    return low.split()
+    return low
+
+
+def plain_words(text: str, never: tuple[str, ...]) -> list[str] | None:
+    """The words of ``plain_text``."""
+    low = plain_text(text, never)
+    return None if low is None else low.split()
 
 
 #: Rough bytes of a remembered entry besides its text and value.
@@ -189,15 +208,16 @@ class PieceCache:
     A piece that isn't known is cut again at the matches of ``pattern`` (the
     tokenizer's own splits), and what isn't known of those is encoded in batches
     of about ``batch_bytes``.  Entries of ``most_bytes`` in all are remembered;
-    what comes later, and long pieces, are worked out each time.
+    what comes later, and long pieces, are worked out each time.  ``flat``: values
+    are ids as bytes, and usual texts are put together by Arrow and NumPy.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 112 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None):
+    def __init__(self, encode: Callable[[list[str]], Iterable], join: Callable, pattern: str | None = None, fold: bool = False, never: tuple[str, ...] = (), most_bytes: int = 112 << 20, batch_bytes: int = 1 << 18, encode_long: Callable | None = None, flat: bool = False):
         import regex
 
         self.encode, self.join, self.fold, self.never, self.most_bytes, self.batch_bytes = encode, join, fold, never, most_bytes, batch_bytes
         self.find = regex.compile(pattern).findall if pattern else None
-        self.encode_long = encode_long
+        self.encode_long, self.flat = encode_long, flat
         self.known: dict = {}
         self.bytes = 0
 
@@ -230,12 +250,14 @@ class PieceCache:
 
     def _learn(self, new: set[str]) -> dict:
         known = self.known
-        usual = {p for p in new if p.isalpha() and p.isascii() and p.islower()} if self.fold and self.find is not None else set()
-        single = usual.union(filter(self._single, new.difference(usual)))
-        cuts = {p: self._cut(p) for p in new.difference(single)}
+        low = set(filter(_LOW_WORD.fullmatch, new)) if self.fold and self.find is not None else set()
+        other = new.difference(low)
+        single = set(filter(self._single, other))
+        cuts = {p: self._cut(p) for p in other.difference(single)}
+        single.update(x for cut in cuts.values() for x in cut if x not in known)
         found: dict = {}
         batch, held = [], 0
-        for x in single.union(x for cut in cuts.values() for x in cut if x not in known):
+        for x in chain(low, single.difference(low)):
             if self.encode_long is not None and len(x) > _LONG:
                 found[x] = self.encode_long(x)
                 continue
@@ -261,9 +283,37 @@ class PieceCache:
             own.update(self._learn(new))
         return [self.join(map(own.__getitem__, pieces)) for pieces in texts]
 
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that ``plain_text`` gave.  Arrow splits them and numbers their
+        different words, so only those become Python strings and are looked up."""
+        split = pc.utf8_split_whitespace(pa.array(texts, pa.string()))
+        coded = split.flatten().dictionary_encode()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values = list(map(self.known.get, different))
+        if new := {w for w, v in zip(different, values) if v is None}:
+            learned = self._learn(new)
+            values = [learned[w] if v is None else v for w, v in zip(different, values)]
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        word, ids = coded.indices.to_numpy(), np.frombuffer(b"".join(values), "<u4")
+        held = sizes[word]
+        ends = np.cumsum(held)
+        # what an id's place among all words' ids is more than its place in the texts
+        shift = (np.cumsum(sizes) - sizes)[word] - (ends - held)
+        raw = ids[np.repeat(shift, held) + np.arange(held.sum())].tobytes()
+        bounds = 4 * np.concatenate([[0], ends])[split.offsets.to_numpy()]
+        return [raw[a:b] for a, b in pairwise(bounds.tolist())]
 
     def texts(self, texts: list[str | None], cut: Callable[[str], list[str]]) -> list:
-        """The value of each whole text; a long one goes window by window, so that
+        """The value of each whole text."""
+        if self.flat and cut is words and self.fold:
+            low = {k: p for k, t in enumerate(texts) if t and len(t) <= WINDOW and (p := plain_text(t, self.never)) is not None}
+            rest = iter(self._listed([t for k, t in enumerate(texts) if k not in low], cut))
+            done = dict(zip(low, self._plain(list(low.values()))))
+            return [done[k] if k in done else next(rest) for k in range(len(texts))]
+        return self._listed(texts, cut)
+
+    def _listed(self, texts: list[str | None], cut: Callable[[str], list[str]]) -> list:
+        """``texts`` by lists of their pieces; a long one goes window by window, so that
         its pieces are never listed all at once."""
         usual = self([(plain_words(t, self.never) if cut is words and self.fold else None) or cut(t) if t and len(t) <= WINDOW else [] for t in texts])
         for k, t in enumerate(texts):
@@ -294,20 +344,40 @@ def pattern_of(definition: dict) -> tuple[str | None, bool]:
     return None, False
 
 
+#: Fixed value: a split that takes a word of letters whole.
+_WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _for_low_words(tok, definition: dict):
+    """The tokenizer's model without normalizing, pattern and added tokens, none of which
+    touches words of ``_LOW_WORD``; the tokenizer, where one may."""
+    split, *rest = definition["pre_tokenizer"]["pretokenizers"]
+    if split["pattern"].get("Regex") != _WORD_SPLIT or [(r["type"], r.get("add_prefix_space"), r.get("use_regex")) for r in rest] != [("ByteLevel", False, False)] or any(_LOW_WORDS.fullmatch(t["content"].lower()) for t in definition.get("added_tokens") or []):
+        return tok
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    plain = Tokenizer(tok.model)
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain
+
+
 def _words_in_one(tok, definition: dict, encode: Callable, kind: str) -> Callable[[list[str]], list]:
     """Encode many words in one text: every word's last token has the mark of an end.
 
     A text with another number of ends than words is encoded word by word; so are
     pieces of other characters, which may be several words.
     """
+    low_tok = _for_low_words(tok, definition)
     vocab, end = tok.get_vocab(with_added_tokens=True), definition["model"]["end_of_word_suffix"]
     ends = np.zeros(1 + max(vocab.values()), bool)
     ends[[i for t, i in vocab.items() if t.endswith(end)]] = True
 
     def run(batch: list[str]) -> list:
-        single, found = [x for x in batch if x.isalpha()], {}
+        single, found = list(filter(str.isalpha, batch)), {}
         if len(single) > 1:
-            ids = np.array(tok.encode_batch_fast([" ".join(single)], add_special_tokens=False)[0].ids, "<u4")
+            joined = " ".join(single)
+            own = low_tok if _LOW_WORDS.fullmatch(joined) else tok
+            ids = np.array(own.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ends[ids]) + 1
             if len(at) == len(single) and at[-1] == len(ids):
                 if kind == "ids":
@@ -381,7 +451,7 @@ def load(path: str, kind: str):
         pattern, fold = pattern_of(definition)
         never = tuple(t["content"] for t in definition.get("added_tokens") or [])
         long = _by_parts(definition, path, encode, join, never, kind)
-        return cutter(definition), PieceCache(encode, join, pattern, fold, never, encode_long=long)
+        return cutter(definition), PieceCache(encode, join, pattern, fold, never, encode_long=long, flat=kind == "ids")
 
     return resident(("pieces", path, kind), make)
 

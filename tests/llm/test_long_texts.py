@@ -132,3 +132,18 @@ def test_usual_texts_with_marks_apart():
     texts_ = ["The cat, the Été. end.\nNew, line.", "12, 3. 4,5 6.7", "don't, it's. we'll,", "a\", b !, c. \", d", "ª, º. µ, ß. ÷, ×. «, ». a", "tab,\tend.\r\nx,\xa0y.\x85z", "a_, b_. _", "<|endoftext|>, a <|ENDOFTEXT|>. b", "x , y . z", ", . ,. .,", "İstanbul, İ. i̇"]
     for _ in range(2):  # new and remembered
         assert cache.texts(texts_, cut) == [pieces.id_bytes(tok.encode(t, add_special_tokens=False).ids) for t in texts_]
+
+
+def test_usual_texts_are_put_together_from_different_words():
+    never, tok = ("<|endoftext|>",), Tokenizer.from_file(WORD)
+    assert pieces.plain_words("Der Spaß, die Größe\nGroß.\nEnde", never) == ["der", "spaß", ",", "die", "größe", "groß", ".", "ende"]
+    cut, cache = pieces.load(WORD, "ids")
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    rng = np.random.default_rng(2)
+    words = ["".join(rng.choice(letters[: 52 if k % 3 else None], 1 + k % 9)) for k in range(3000)]
+    many = [" ".join(rng.choice(words, 40)) for _ in range(200)]
+    some = [None, "", " ", "\n\t", " a,  b. ", "\u0085x\xa0y", "Straße, nein.\nJa! 12 $$$", "don't. 'll", "<|endoftext|>", "a|b", "日本, x", "x\x1cy", ".,", *many, *[f"a{c}, {c}{c}. {c}b" for c in letters]]
+    want = [pieces.id_bytes(tok.encode(t or "", add_special_tokens=False).ids) for t in some]
+    for _ in range(2):  # from the encoder, and from what is remembered
+        assert cache.texts(some, cut) == want
+    assert cache.texts([], cut) == [] and cache.texts([None, " "], cut) == [b"", b""]
